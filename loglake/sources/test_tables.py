@@ -25,6 +25,18 @@ select event_id as row_id, ts as timestamp,
 from {events}
 """
 
+# The same records with holes: no time, no message, a short message or no level.
+GAPS_SQL = """
+select row_id, case when row_id % 11 = 0 then null else timestamp end as timestamp,
+  case when row_id % 7 = 0 then null when row_id % 13 = 0 then substring(message, 1, 3) else message end as message,
+  case when row_id % 5 = 0 then null else level end as level,
+  case when row_id % 3 = 0 then null else status_code end as status_code,
+  case when row_id % 4 = 0 then null else response_size end as response_size,
+  case when row_id % 6 = 0 then null else duration_ms end as duration_ms,
+  service, method
+from {logs}
+"""
+
 INGEST_TS = "2026-01-01 00:00:00"
 DEFAULT_YEAR = 2024
 
@@ -38,7 +50,11 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LOGS_SQL, events=table(spark, sf_dir, "events"))
 
 
-def log_lines(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(GAPS_SQL, logs=logs(spark, sf_dir))
+
+
+def log_lines(spark: SparkSession, sf_dir: str, duplicates: bool = True) -> DataFrame:
     """Raw lines in six files, one per format plus a generic and a blank one.
 
     With ``duplicates`` every fiftieth record is written again in a seventh file.
