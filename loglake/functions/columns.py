@@ -80,15 +80,16 @@ def anomaly_severity(score: Column) -> Column:
 
 
 def human_size(size: Column) -> Column:
-    """Bytes as text with one decimal, in powers of 1024 up to PB."""
+    """Bytes as text with one decimal (ties to even), in powers of 1024 up to PB."""
     size = size.cast("double")
+
+    def shown(power: int, unit: str) -> Column:
+        return F.format_string(f"%.1f {unit}", F.bround(size / F.lit(1024.0**power), 1))
+
     chain = F
     for power, unit in enumerate(fv.SIZE_UNITS):
-        chain = chain.when(
-            size < 1024.0 ** (power + 1),
-            F.format_string(f"%.1f {unit}", size / F.lit(1024.0**power)),
-        )
-    return chain.otherwise(F.format_string("%.1f PB", size / F.lit(1024.0**5)))
+        chain = chain.when(size < 1024.0 ** (power + 1), shown(power, unit))
+    return chain.otherwise(shown(5, "PB"))
 
 
 def rate_class(rate: Column) -> Column:

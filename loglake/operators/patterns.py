@@ -74,6 +74,11 @@ def vocabulary(
     return counted.withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)
 
 
+def placed(vocab: DataFrame) -> DataFrame:
+    """Numbers the terms alphabetically; a vocabulary is small by construction."""
+    return vocab.withColumn("place", F.row_number().over(Window.orderBy("term")) - 1)
+
+
 def message_vectors(
     docs: DataFrame, vocab: DataFrame, stop_words: Sequence[str] = fv.TERM_STOP_WORDS
 ) -> DataFrame:

@@ -143,23 +143,31 @@ select * from (
 where copy = 1 and timestamp is not null and length(message) >= 5
 """
 
-FEATURES = r"""
+RAW_FEATURES = r"""
 select row_id, severity_num as severity, hour, day_of_week,
   cast(day_of_week >= 5 as int) as is_weekend, cast(hour < 6 or hour > 22 as int) as is_night,
   cast(hour * 60 + minute(timestamp) as int) as minute_of_day,
-  round(sin(2 * pi() * hour / 24), 9) as hour_sin, round(cos(2 * pi() * hour / 24), 9) as hour_cos,
+  sin(2 * pi() * hour / 24) as hour_sin, cos(2 * pi() * hour / 24) as hour_cos,
   message_length, cast(len(list_filter(regexp_split_to_array(message, '\s+'), lambda w: w <> '')) as int) as word_count,
   cast(regexp_matches(message, '(?i)error|fail|exception|crash|timeout|denied|refused') as int) as has_error_keyword,
   cast(regexp_matches(message, '\d') as int) as has_number,
-  round(length(regexp_replace(message, '[^\p{Lu}]', '', 'g')) / greatest(length(message), 1), 9) as uppercase_ratio,
+  length(regexp_replace(message, '[^\p{Lu}]', '', 'g')) / greatest(length(message), 1) as uppercase_ratio,
   cast(length(regexp_replace(message, '[^!@#$%^&*()_+=\[\]{};:''"\\|,.<>?/~`]', '', 'g')) as int) as special_char_count,
   coalesce(status_code, 200) as status_code, cast(status_code >= 400 as int) as is_error_status,
   cast(status_code >= 500 as int) as is_server_error, response_size,
-  round(ln(1 + response_size), 9) as response_size_log, duration_ms,
-  round(ln(1 + duration_ms), 9) as duration_log, cast(duration_ms > 1000 as int) as is_slow
+  ln(1 + response_size) as response_size_log, duration_ms,
+  ln(1 + duration_ms) as duration_log, cast(duration_ms > 1000 as int) as is_slow
 from enriched
 """
 
+# Digits both engines agree on.
+FEATURES = """
+select * replace (round(hour_sin, 9) as hour_sin, round(hour_cos, 9) as hour_cos,
+  round(uppercase_ratio, 9) as uppercase_ratio, round(response_size_log, 9) as response_size_log,
+  round(duration_log, 9) as duration_log)
+from raw_features
+"""
+
 # [^a-zA-Z] also turns every kind of white space into the blank the words are split at
 _NOISE = f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(message,
   '{fv.TEXT_IPV4}', ' ', 'g'), '{fv.TEXT_TIME}', ' ', 'g'), '{fv.TEXT_HEX}', ' ', 'g'),
@@ -193,7 +201,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "parsed": (PARSED, ("routed",)),
     "cleaned": (CLEANED, ("parsed",)),
     "enriched": (ENRICHED, ("logs",)),
-    "features": (FEATURES, ("enriched",)),
+    "raw_features": (RAW_FEATURES, ("enriched",)),
+    "features": (FEATURES, ("raw_features",)),
     "texts": ("select doc_id as row_id, text as message from documents", ()),
     "words": (f"select row_id, {WORDS} as words from texts where length(message) > 0", ("texts",)),
     "tokens": ("select row_id, unnest(words) as token from words", ("words",)),
