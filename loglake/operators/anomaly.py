@@ -67,6 +67,9 @@ def tree_samples(
     drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: ticket(t) < limit)
     values = F.array(*(F.col(c).cast("double") for c in names)).alias("values")
     rows = rows.select(key, values, F.explode(drawn).alias("tree")).withColumn("ticket", ticket(F.col("tree")))
+    # a fixed number of partitions: the samples are small in bytes but costly to grow
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rows = rows.repartition(min(trees, 2 * cores), "tree")
     order = Window.partitionBy("tree").orderBy("ticket", key)
     return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
 

@@ -54,3 +54,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain scan on at least as many partitions as there are cores.
+
+    A large table has far more splits than cores and is returned as it is. A single
+    small or unsplittable file (gzip, one row group) would leave all other cores idle,
+    so its rows are dealt out once. Use it on scans only: counting the partitions of a
+    plan with shuffles would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglake.session import spread
+
 
 def scan_raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """All lines below ``folder``; names starting with ``_`` or ``.`` are skipped.
@@ -12,9 +14,10 @@ def scan_raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     ``_block`` is the offset of the file split and ``_line_no`` grows inside a split,
     so (_file, _block, _line_no) is the reading order of the files in name order.
     """
-    return spark.read.text(folder).select(
+    lines = spark.read.text(folder).select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line_no"),
         "value",
     )
+    return spread(lines)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.functions.text_columns import once
+
 
 def apache_line() -> Column:
     return F.concat(
@@ -79,7 +81,7 @@ def render_lines(records: DataFrame) -> DataFrame:
         F.concat(F.lit("f"), kind.cast("string")).alias("_file"),
         F.lit(0).cast("bigint").alias("_block"),
         F.col("row_id").alias("_line_no"),
-        value.alias("value"),
+        once(value).alias("value"),
     )
 
 

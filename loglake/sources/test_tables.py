@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglake.session import spread
+
 # The same text serves Spark and the SQL check.
 LOGS_SQL = """
 select event_id as row_id, ts as timestamp,
@@ -42,7 +44,7 @@ DEFAULT_YEAR = 2024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
