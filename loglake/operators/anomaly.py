@@ -118,51 +118,55 @@ def average_path(size: np.ndarray) -> np.ndarray:
     return np.where(size > 2, path, np.where(size == 2, 1.0, 0.0))
 
 
-class _Forest:
-    """Node arrays, one row per tree, walked for a whole batch at a time."""
-
-    def __init__(self, nodes: pd.DataFrame):
-        trees, width = nodes["tree"].max() + 1, nodes["node"].max() + 1
-        shape = (trees, width)
-        at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
-
-        def grid(values, fill, dtype):
-            out = np.full(shape, fill, dtype=dtype)
-            out[at] = values
-            return out
-
-        leaf = nodes["feature"].to_numpy() < 0
-        own = nodes["node"].to_numpy()
-        # a leaf points at itself, so walking on from it changes nothing
-        self.feature = grid(np.where(leaf, 0, nodes["feature"]), 0, np.int32)
-        self.threshold = grid(np.where(leaf, np.inf, nodes["threshold"]), np.inf, float)
-        self.left = grid(np.where(leaf, own, nodes["left"]), 0, np.int32)
-        self.right = grid(np.where(leaf, own, nodes["right"]), 0, np.int32)
-        self.path = grid(nodes["depth"] + average_path(nodes["size"].to_numpy()), 0.0, float)
-        self.height = int(nodes["depth"].max())
-        self.normal = float(average_path(np.array([nodes.loc[nodes["node"] == 0, "size"].max()]))[0])
-
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for t in range(len(self.feature)):
-            node = np.zeros(len(x), dtype=np.int32)
-            for _ in range(self.height):
-                below = x[rows, self.feature[t, node]] <= self.threshold[t, node]
-                node = np.where(below, self.left[t, node], self.right[t, node])
-            total += self.path[t, node]
-        mean = total / len(self.feature)
-        return -np.power(2.0, -mean / self.normal) if self.normal > 0 else np.full(len(x), -0.5)
+def forest_arrays(nodes: pd.DataFrame) -> dict:
+    """The node table as arrays with one row per tree, ready to walk whole batches."""
+    shape = (nodes["tree"].max() + 1, nodes["node"].max() + 1)
+    at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
+
+    def grid(values, fill, dtype):
+        out = np.full(shape, fill, dtype=dtype)
+        out[at] = values
+        return out
+
+    leaf, own = nodes["feature"].to_numpy() < 0, nodes["node"].to_numpy()
+    # a leaf points at itself, so walking on from it changes nothing
+    return {
+        "feature": grid(np.where(leaf, 0, nodes["feature"]), 0, np.int32),
+        "threshold": grid(np.where(leaf, np.inf, nodes["threshold"]), np.inf, float),
+        "left": grid(np.where(leaf, own, nodes["left"]), 0, np.int32),
+        "right": grid(np.where(leaf, own, nodes["right"]), 0, np.int32),
+        "path": grid(nodes["depth"] + average_path(nodes["size"].to_numpy()), 0.0, float),
+        "height": int(nodes["depth"].max()),
+        "normal": float(average_path(np.array([nodes.loc[nodes["node"] == 0, "size"].max()]))[0]),
+    }
+
+
+def walk_trees(forest: dict, x: np.ndarray) -> np.ndarray:
+    """Raw scores of a batch of rows."""
+    if forest["normal"] <= 0:
+        return np.full(len(x), -0.5)
+    total = np.zeros(len(x))
+    flat, width = np.ascontiguousarray(x).ravel(), x.shape[1]
+    base = np.arange(len(x)) * width
+    for feature, threshold, left, right, path in zip(
+        *(forest[k] for k in ("feature", "threshold", "left", "right", "path"))
+    ):
+        node = np.zeros(len(x), dtype=np.int32)
+        for _ in range(forest["height"]):
+            below = flat[base + feature[node]] <= threshold[node]
+            node = np.where(below, left[node], right[node])
+        total += path[node]
+    return -np.power(2.0, -total / len(forest["feature"]) / forest["normal"])
 
 
 def score(rows: DataFrame, names: Sequence[str], nodes: pd.DataFrame) -> DataFrame:
     """Adds ``raw_score``: towards -1 for outliers, about -0.5 for ordinary rows."""
-    forest = rows.sparkSession.sparkContext.broadcast(_Forest(nodes))
+    forest = rows.sparkSession.sparkContext.broadcast(forest_arrays(nodes))
 
     @F.pandas_udf("double")
     def walk(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            yield pd.Series(forest.value.scores(np.column_stack([c.to_numpy(dtype=float) for c in columns])))
+            yield pd.Series(walk_trees(forest.value, np.column_stack([c.to_numpy(dtype=float) for c in columns])))
 
     return rows.withColumn("raw_score", walk(*(F.col(n).cast("double") for n in names)))
 

@@ -161,7 +161,7 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
 
 
 def truncated_svd(
-    vectors: DataFrame, terms: int, rows: int, k: int = COMPONENTS, passes: int = 7, seed: int = SEED
+    vectors: DataFrame, terms: int, rows: int, k: int = COMPONENTS, passes: int = 5, seed: int = SEED
 ) -> tuple[np.ndarray, np.ndarray] | None:
     """Right singular vectors (terms x k) and singular values, without centring.
 
