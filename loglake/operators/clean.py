@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglake import fixed_values as fv
+from loglake.operators.parse import route_lines
 from loglake.schema import POSITION
 
 
@@ -16,10 +17,23 @@ def dedup_keep_first(df: DataFrame, key: str = "_raw", order: Sequence[str] = PO
 
     An aggregate rather than a window: copies of one line are reduced to a single row
     inside each map task, so a line that makes up a third of the input is never
-    gathered in one place.
+    gathered in one place. The struct compares by ``order`` first and carries every
+    other column once.
     """
-    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_first")
-    return df.groupBy(F.col(key).alias("_key")).agg(first).select("_first.*")
+    rest = [c for c in df.columns if c != key and c not in order]
+    first = F.min(F.struct(*order, *rest)).alias("_first")
+    found = df.groupBy(key).agg(first)
+    return found.select(*(key if c == key else F.col(f"_first.{c}") for c in df.columns))
+
+
+def first_copies(formatted: DataFrame) -> DataFrame:
+    """First copy of every line that its file's format accepts, before it is parsed.
+
+    Equal to removing duplicates from the parsed records, but only the line and its
+    position are shuffled, not the record that is made of it.
+    """
+    accepted = route_lines(formatted).where(F.col("_outcome") != "dropped")
+    return dedup_keep_first(accepted.select(*formatted.columns), "value")
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:

@@ -257,7 +257,10 @@ def parse_logs(
     lines: DataFrame, ingest_ts: Column | str, default_year: int, mode: str = "file"
 ) -> DataFrame:
     """The whole parsing job: unified records (``RECORD_SCHEMA``), dropped lines left out."""
-    parsed = parse_lines(with_format(lines, mode), ingest_ts, default_year)
+    return records_of(parse_lines(with_format(lines, mode), ingest_ts, default_year))
+
+
+def records_of(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("_outcome") != "dropped").select(*RECORD_SCHEMA.fieldNames())
 
 

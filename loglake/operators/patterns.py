@@ -298,23 +298,23 @@ def cluster_words(labelled: DataFrame, k: int = 10) -> DataFrame:
 
 @dataclass
 class PatternModel:
-    """Vocabulary, reduction and cluster centres; everything in it has a bounded size."""
+    """Vocabulary (at most max_terms), reduction and centres, and the described clusters."""
 
     algorithm: str
     vocab: pd.DataFrame  # place, term, idf
     components: np.ndarray | None
     centers: np.ndarray | None
-    clusters: pd.DataFrame  # cluster, size, percentage, representative, top_terms
+    clusters: DataFrame  # CLUSTER_SCHEMA; a table, since density clusters can be many
 
-    def summary(self, spark: SparkSession) -> DataFrame:
+    def summary(self) -> DataFrame:
         """One row per pattern with its five strongest terms."""
-        table = self.clusters.assign(
-            pattern=[f"pattern_{c}" for c in self.clusters["cluster"]],
-            top_keywords=[", ".join(t["term"] for t in terms[:5]) for terms in self.clusters["top_terms"]],
+        return self.clusters.select(
+            F.concat(F.lit("pattern_"), F.col("cluster").cast("string")).alias("pattern"),
+            "size",
+            "percentage",
+            F.array_join(F.slice("top_terms.term", 1, 5), ", ").alias("top_keywords"),
+            "representative",
         )
-        columns = ["pattern", "size", "percentage", "top_keywords", "representative"]
-        schema = "pattern string, size bigint, percentage double, top_keywords string, representative string"
-        return spark.createDataFrame(table[columns], schema)
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Nearest centre for new messages (K-Means only)."""
@@ -347,7 +347,7 @@ class PatternModel:
         spark.createDataFrame(centers, "cluster int, center array<double>").write.mode("overwrite").parquet(
             f"{folder}/centers"
         )
-        spark.createDataFrame(self.clusters, CLUSTER_SCHEMA).write.mode("overwrite").json(f"{folder}/clusters")
+        self.clusters.write.mode("overwrite").json(f"{folder}/clusters")
         spark.createDataFrame([(self.algorithm,)], "algorithm string").write.mode("overwrite").json(
             f"{folder}/metadata"
         )
@@ -356,7 +356,7 @@ class PatternModel:
     def load(cls, spark: SparkSession, folder: str) -> "PatternModel":
         vocab = spark.read.parquet(f"{folder}/vocabulary").orderBy("place").toPandas()
         centers = spark.read.parquet(f"{folder}/centers").orderBy("cluster").toPandas()
-        clusters = spark.read.schema(CLUSTER_SCHEMA).json(f"{folder}/clusters").orderBy("cluster").toPandas()
+        clusters = spark.read.schema(CLUSTER_SCHEMA).json(f"{folder}/clusters")
         algorithm = spark.read.schema("algorithm string").json(f"{folder}/metadata").first().algorithm
         components = np.array(vocab.pop("components").tolist(), dtype=float)
         return cls(
@@ -436,11 +436,9 @@ def fit_patterns(
     info = (
         sizes.join(cluster_representative(labelled), "cluster")
         .join(top, "cluster", "left")
-        .select("cluster", "size", "percentage", "representative", F.coalesce("top_terms", F.array()).alias("top_terms"))
-        .orderBy("cluster")
-        .toPandas()
+        .select("cluster", "size", "percentage", "representative", "top_terms")
     )
-    model = PatternModel(algorithm, vocab, components, centers, info)
+    model = PatternModel(algorithm, vocab, components, centers, written(info, "patterns"))
     return model, labelled.select("message", "n", "first_row", "cluster")
 
 

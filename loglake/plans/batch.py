@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from loglake import fixed_values as fv
 from loglake.operators import aggregate, anomaly, patterns, text
-from loglake.operators.clean import clean_logs
+from loglake.operators.clean import clean_logs, first_copies
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.features import record_features
-from loglake.operators.parse import parse_logs
+from loglake.operators.parse import parse_lines, records_of, with_format
 from loglake.sources import lake, test_tables
 
 
@@ -23,9 +23,12 @@ def process(
     null_handling: str = "drop",
     message_length: int = 5,
 ) -> DataFrame:
-    """Parse, clean and enrich raw lines."""
-    records = parse_logs(lines, ingest_ts, default_year, mode)
-    return enrich_logs(clean_logs(records, dedup, null_handling, message_length))
+    """Parse, clean and enrich raw lines. Duplicates go before the lines are parsed."""
+    formatted = with_format(lines, mode)
+    if dedup:
+        formatted = first_copies(formatted)
+    records = records_of(parse_lines(formatted, ingest_ts, default_year))
+    return enrich_logs(clean_logs(records, False, null_handling, message_length))
 
 
 def process_to_lake(lines: DataFrame, root: str, ingest_ts: str, default_year: int, run_date: str) -> DataFrame:
@@ -68,7 +71,7 @@ def analyze(df: DataFrame, root: str, key: str = "row_id") -> dict[str, DataFram
     model.save(spark, lake.zone_path(root, "models", "patterns"))
     return {
         "scored": scored,
-        "patterns": model.summary(spark),
+        "patterns": model.summary(),
         "pattern_labels": labelled,
         **text.analyze(df),
     }

@@ -136,7 +136,7 @@ def _patterns(algorithm):
 
 
 def pattern_summary(spark, sf_dir):
-    return patterns.fit_patterns(t.messages(spark, sf_dir))[0].summary(spark)
+    return patterns.fit_patterns(t.messages(spark, sf_dir))[0].summary()
 
 
 def pattern_counts(spark, sf_dir):

@@ -18,9 +18,10 @@ def test_kmeans_separates_message_kinds(spark, messages, tmp_path):
     rows = labelled.toPandas()
     kinds = rows["message"].str.split().str[0]
     assert rows.groupby(kinds)["cluster"].nunique().eq(1).all() and rows["cluster"].nunique() == 3
-    assert model.clusters["size"].tolist() == [100, 100, 100]
+    assert [r["size"] for r in model.clusters.collect()] == [100, 100, 100]
     model.save(spark, str(tmp_path / "model"))
     again = P.PatternModel.load(spark, str(tmp_path / "model")).assign(messages)
+    assert model.summary().where("size(split(top_keywords, ', ')) = 5").count() == 3
     both = again.join(labelled.select("message", F.col("cluster").alias("before")), "message")
     assert both.count() == 15 and both.where("cluster <> before").isEmpty()
 
