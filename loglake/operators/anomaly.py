@@ -34,13 +34,14 @@ def sanitize(features: DataFrame, names: Sequence[str]) -> DataFrame:
     return features.withColumns({n: finite(F.col(n)) for n in names})
 
 
-def scaling(features: DataFrame, names: Sequence[str]) -> list[tuple[float, float]]:
-    """Mean and population deviation per feature (1 where there is no variation)."""
+def scaling(features: DataFrame, names: Sequence[str]) -> tuple[int, list[tuple[float, float]]]:
+    """Rows, and mean and population deviation per feature (1 where there is no variation)."""
     stats = features.agg(
+        F.count("*").alias("n"),
         *(F.avg(n).alias(f"m{i}") for i, n in enumerate(names)),
         *(F.stddev_pop(n).alias(f"s{i}") for i, n in enumerate(names)),
     ).first()
-    return [(stats[f"m{i}"] or 0.0, stats[f"s{i}"] or 1.0) for i in range(len(names))]
+    return stats.n, [(stats[f"m{i}"] or 0.0, stats[f"s{i}"] or 1.0) for i in range(len(names))]
 
 
 def standardize(features: DataFrame, names: Sequence[str], scales: list[tuple[float, float]]) -> DataFrame:
@@ -188,10 +189,9 @@ class AnomalyDetector:
         """Train on the columns ``names`` of ``features``; ``key`` identifies a row."""
         self.names = list(names)
         rows = written(align_features(features, self.names, [key]), "features")
-        n = rows.count()
+        n, self.scales = scaling(rows, self.names)
         if n == 0:
             raise ValueError("no rows to train on")
-        self.scales = scaling(rows, self.names)
         scaled = standardize(rows, self.names, self.scales)
         samples = tree_samples(scaled, self.names, key, n, self.trees, self.seed)
         nodes = grow_trees(samples, self.seed).toPandas()

@@ -154,9 +154,9 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
 
     schema = ", ".join(f"{n} double" for n in names) + ", place int"
     parts = vectors.select("n", *_places(vectors)).mapInPandas(partial, schema)
-    sums = parts.groupBy("place").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
+    sums = parts.groupBy("place").agg({n: "sum" for n in names}).toPandas()
     product = np.zeros_like(basis)
-    product[sums["place"].to_numpy()] = sums[names].to_numpy()
+    product[sums["place"].to_numpy()] = sums[[f"sum({n})" for n in names]].to_numpy()
     return product
 
 

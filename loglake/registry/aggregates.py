@@ -85,7 +85,7 @@ SCALED = ("severity", "message_length", "response_size", "duration_ms", "status_
 
 def standardized(spark, sf_dir):
     rows = feat.record_features(_enriched(spark, sf_dir), keep=["row_id"]).select("row_id", *SCALED)
-    return _rounded(standardize(rows, SCALED, scaling(rows, SCALED)), *SCALED, digits=6)
+    return _rounded(standardize(rows, SCALED, scaling(rows, SCALED)[1]), *SCALED, digits=6)
 
 
 def aligned(spark, sf_dir):
