@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loglake.functions.columns import human_size
-from loglake.operators import aggregate, anomaly
+from loglake.functions.columns import anomaly_severity, human_size
+from loglake.operators import aggregate
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.text import severity_counts
 from loglake.plans import batch, report
 from loglake.registry import models
 from loglake.registry import sql_views as v
+from loglake.registry.aggregates import _SECTIONS_SQL, _human
 from loglake.registry.cleaning import CLEAN_COLUMNS
-from loglake.registry.models import _given_labels
+from loglake.registry.models import _SEVERITY_BINS
+from loglake.registry.text_mining import _HITS
 from loglake.session import scratch_path
 from loglake.sources import lake, test_tables as t
 
@@ -22,14 +24,9 @@ def _enriched(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return _given_labels_of(_enriched(spark, sf_dir))
-
-
-def _given_labels_of(rows):
+    """Records with a given label and score in the place of the model's."""
     score = (F.lit(300) - F.col("duration_ms")) / 1000
-    from loglake.functions.columns import anomaly_severity
-
-    return rows.withColumns(
+    return _enriched(spark, sf_dir).withColumns(
         {
             "is_anomaly": (F.col("level") == "CRITICAL").cast("int"),
             "anomaly_score": score,
@@ -158,9 +155,6 @@ QUERIES = {
     "report_document": lambda s, d: report.report_document(sections(s, d)),
 }
 
-from loglake.registry.aggregates import _SECTIONS_SQL, _human  # noqa: E402
-from loglake.registry.models import _SEVERITY_BINS  # noqa: E402
-from loglake.registry.text_mining import _HITS  # noqa: E402
 
 _SCORED = "select *, (300 - duration_ms) / 1000 as score from labelled"
 _HEADLINE = """select count(*) as total_records, count(*) filter (where level in ('ERROR', 'CRITICAL')) as error_count,
