@@ -17,6 +17,7 @@ from loglake.registry.models import _SEVERITY_BINS
 from loglake.registry.text_mining import _HITS
 from loglake.session import scratch_path
 from loglake.sources import lake, test_tables as t
+from loglake.streaming.incremental import process_new_files
 
 
 def _enriched(spark, sf_dir):
@@ -135,7 +136,20 @@ def sections(spark, sf_dir):
     return report.report_sections(_labelled(spark, sf_dir), severity_counts(t.messages(spark, sf_dir)))
 
 
+def incremental(spark, sf_dir):
+    """All lines written as files and taken in by one recurring run."""
+    root = scratch_path(spark, "incremental")
+    lines = t.log_lines(spark, sf_dir).select(F.col("_file").alias("source"), "value")
+    lines.write.partitionBy("source").text(f"{root}/raw")
+    process_new_files(spark, f"{root}/raw", f"{root}/table", f"{root}/progress", t.INGEST_TS, t.DEFAULT_YEAR)
+    source = F.regexp_extract("_file", "source=([^/]+)", 1)
+    return spark.read.parquet(f"{root}/table").select(
+        source.alias("file"), "timestamp", "level", "message", "service", "status_code"
+    )
+
+
 QUERIES = {
+    "incremental_run": incremental,
     "scan_latest_batch": latest_batch,
     "processed_projection": processed,
     "batch_stats": lambda s, d: batch.batch_stats(_enriched(s, d)),
@@ -171,7 +185,12 @@ def _class(column: str) -> str:
     return f"case when {column} > 10 then 'danger' when {column} > 5 then 'warning' else 'normal' end"
 
 
+_NORMAL_LEVEL = "case level when 'WARN' then 'WARNING' when 'FATAL' then 'CRITICAL' else level end as level"
+
 ORACLES = {
+    "incremental_run": v.with_views(
+        f"select file, timestamp, {_NORMAL_LEVEL}, message, service, status_code from cleaned", "cleaned"
+    ),
     "scan_latest_batch": v.with_views(
         """select row_id, timestamp, level, date as run_date from enriched where date = (select max(date) from enriched)""",
         "enriched",
