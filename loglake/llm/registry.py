@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("op1_mixing", "op3_quality_rules", "op7_bpe")
+MODULES = ("op1_mixing", "op2_toxicity", "op3_quality_rules", "op7_bpe")
 
 
 def queries() -> dict:
