@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("op1_mixing", "op2_toxicity", "op3_quality_rules", "op5_quality_model", "op7_bpe", "op8_pii")
+MODULES = (
+    "op1_mixing", "op2_toxicity", "op3_quality_rules", "op5_quality_model", "op7_bpe", "op8_pii", "op9_ann",
+)
 
 
 def queries() -> dict:
