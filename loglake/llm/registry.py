@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "op1_mixing", "op2_toxicity", "op3_quality_rules", "op5_quality_model", "op6_url_lists", "op7_bpe", "op8_pii", "op9_ann",
+    "op1_mixing", "op2_toxicity", "op3_quality_rules", "op4_jaccard_join", "op5_quality_model", "op6_url_lists", "op7_bpe", "op8_pii", "op9_ann",
     "op10_substring_dedup",
 )
 
