@@ -1,29 +1,71 @@
-"""The corpus pipeline: every stage works on all that its predecessor kept."""
+"""The corpus pipeline: every stage works on all that its predecessor kept.
+
+Stages take (spark, docs, sf_dir); all but the last return the columns of documents. Each
+result is written and read again, so a lost executor costs a stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loglake.llm import bpe
+from loglake.llm import bpe, jaccard_join, mixing, pii
+from loglake.llm.queries import op2_toxicity
 from loglake.llm.queries.op7_bpe import tokenizer_path
 from loglake.session import scratch_path
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOXIC = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below ``TOXIC``; empty ones score 0 and stay."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = op2_toxicity.scores(docs, labels, COLUMNS)
+    return scored.where(F.col("score") < TOXIC).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates, once. Empty
+    documents are no duplicates of each other, and rows without an id cannot be told
+    apart: both stay, but for rows repeated as a whole."""
+    groups = jaccard_join.groups(docs)
+    others = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their personal data replaced by its kind."""
+    return pii.redact(docs.select(*COLUMNS), pii.train(docs))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document; a document taken twice in part gives two rows."""
+    return mixing.mix(docs, with_text=True).select(*COLUMNS)
+
 
-def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left; the last stage."""
-    return bpe.encode(docs, tokenizer_path(), keep=("doc_id", "lang", "source"))
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left, as training shards hold them."""
+    encoded = bpe.encode(docs, tokenizer_path(), keep=("doc_id", "lang", "source"))
+    return encoded.withColumn("n_tokens", (F.length("token_ids") / 4).cast("bigint"))
 
 
-STAGES = [("bpe", encode_documents)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", one_of_each_group),
+    ("personal data", redact),
+    ("mixture", mix),
+    ("tokens", encode),
+]
 
-#: Training and merge queues have no SQL form; stages are tested against brute force.
+#: Training, message passing and merge queues have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
+    for _, stage in STAGES[:-1]:
+        path = scratch_path(spark, "pipeline")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
