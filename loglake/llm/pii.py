@@ -362,7 +362,10 @@ def redact(docs: DataFrame, model: SkipChain) -> DataFrame:
     """
     columns = docs.columns
     rest = tuple(c for c in columns if c not in ("text", "n_chars"))
-    slim = docs.select(*rest, F.col("text").cast("string").alias("_text"))
+    raw = "_text"
+    while raw in rest:
+        raw += "_"
+    slim = docs.select(*rest, F.col("text").cast("string").alias(raw))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*rest).schema.fields]
 
     def clean(text: str, spans: list) -> str:
@@ -377,7 +380,7 @@ def redact(docs: DataFrame, model: SkipChain) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, TOGETHER):
                 rows = batch.slice(low, TOGETHER)
-                texts = rows.column("_text").to_pylist()
+                texts = rows.column(raw).to_pylist()
                 found = find([t or "" for t in texts], model)
                 new = [clean(t, s) if s else t for t, s in zip(texts, found)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), pa.array(new, pa.string())], [*rest, "text"])

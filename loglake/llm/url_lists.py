@@ -101,11 +101,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", day: str
         F.max("from_day").alias("listed_since"),
     )
     rows = captures.select(*kept).alias("c")
-    same = (F.col(f"c.{url}") == F.col("_url")) & (F.col(f"c.{day}") == F.col("_day"))
-    return rows.join(found, same, "left").select(
+    same = (F.col(f"c.{url}") == F.col("f._url")) & (F.col(f"c.{day}") == F.col("f._day"))
+    return rows.join(found.alias("f"), same, "left").select(
         *(f"c.{c}" for c in kept),
-        F.col("entries").isNotNull().alias("blocked"),
-        F.coalesce("entries", F.lit(0)).cast("bigint").alias("entries"),
-        F.coalesce("lists", F.lit("")).alias("lists"),
-        "listed_since",
+        F.col("f.entries").isNotNull().alias("blocked"),
+        F.coalesce("f.entries", F.lit(0)).cast("bigint").alias("entries"),
+        F.coalesce("f.lists", F.lit("")).alias("lists"),
+        "f.listed_since",
     )
