@@ -14,7 +14,7 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,35 +170,36 @@ def mix(docs: DataFrame, with_text: bool = False, block: int = BLOCK_WORDS) -> D
     quotas = apportion(per_shard, "key", "shard_size", "source_seats", "shard", "quota").select("key", "shard", "quota")
     ready = parted.join(written(quotas, "quotas"), ["key", "shard"])
 
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_order", "doc_id", "size"], kind="stable")
-        ends = np.cumsum(pdf["size"].to_numpy(np.int64))
-        starts = ends - pdf["size"].to_numpy(np.int64)
-        if not ends[-1]:
-            times, before = np.zeros(1, np.int64), np.zeros(2, np.int64)
-        else:
-            times, before = _times(int(ends[-1]), int(pdf["quota"].iloc[0]), pdf["key"].iloc[0], int(pdf["shard"].iloc[0]), block)
+    def take(shard: pa.Table) -> pa.Table:
+        shard = shard.sort_by([("_order", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
+        sizes = shard["size"].to_numpy()
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        times, before = np.zeros(1, np.int64), np.zeros(2, np.int64)
+        if ends[-1]:
+            quota, key, number = (shard[c][0].as_py() for c in ("quota", "key", "shard"))
+            times, before = _times(int(ends[-1]), quota, key, number, block)
         if with_text:
             copies = [
                 (row, part)
-                for row, (text, a, b) in enumerate(zip(pdf["text"], starts, ends))
+                for row, (text, a, b) in enumerate(zip(shard["text"].to_pylist(), starts.tolist(), ends.tolist()))
                 if b > a
                 for least in range(1, MOST_TIMES + 1)
                 if (part := _pieces(text, a, b, times, least, block)) is not None
             ]
-            out = pdf[["doc_id", "lang", "source"]].iloc[[row for row, _ in copies]].copy()
-            out["text"] = [part for _, part in copies]
-            return out[["doc_id", "text", "lang", "source"]]
+            out = shard.select(["doc_id", "lang", "source"]).take(pa.array([row for row, _ in copies], pa.int64()))
+            return out.add_column(1, "text", pa.array([part for _, part in copies], pa.string()))
         full = np.append(times, 0)
         words = lambda at: before[at // block] + full[at // block] * (at % block)
-        return pdf[["doc_id", "size", "source_size", "target"]].assign(taken=words(ends) - words(starts))
+        out = shard.select(["doc_id", "size", "source_size", "target"])
+        return out.append_column("taken", pa.array(words(ends) - words(starts)))
 
     kinds = {f.name: f.dataType.simpleString() for f in ready.schema.fields}
     if with_text:
         schema = f"doc_id {kinds['doc_id']}, text string, lang {kinds['lang']}, source {kinds['source']}"
         taken = ready.select("key", "shard", "quota", "size", "_order", "doc_id", "text", "lang", "source")
-        mixed = taken.groupBy("key", "shard").applyInPandas(take, schema)
+        mixed = taken.groupBy("key", "shard").applyInArrow(take, schema)
         return mixed.withColumn("n_chars", F.length("text").cast("bigint"))
     schema = f"doc_id {kinds['doc_id']}, size bigint, source_size bigint, target double, taken bigint"
     slim = ready.select("key", "shard", "quota", "size", "_order", "doc_id", "source_size", "target")
-    return slim.groupBy("key", "shard").applyInPandas(take, schema)
+    return slim.groupBy("key", "shard").applyInArrow(take, schema)
