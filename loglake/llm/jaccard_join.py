@@ -154,28 +154,47 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([classes, lists], ["class", "shingles"])
 
     rows = _slim(docs).join(wanted, "doc_id", "left_semi")
-    return rows.mapInArrow(run, "class bigint, shingles array<bigint>").dropDuplicates(["class"])
+    return rows.mapInArrow(run, "class bigint, shingles array<bigint>")
 
 
-def _measured(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Jaccard distance of every pair (a, b)."""
+def _admitted(pairs: DataFrame, openings: DataFrame) -> DataFrame:
+    """Pairs (a, b) of n and m shingles that can be within the radius by their opening shingles.
+
+    Of a set's members behind its openings ``ceil(0.8 n) - 1`` are left, so an overlap of
+    ``4 (n + m) / 9`` needs a number of common openings, which both sets' openings show.
+    """
+    heads = written(openings.groupBy("class").agg(F.collect_list("shingle").alias("opening")), "heads")
+    left = heads.select(F.col("class").alias("a"), F.col("opening").alias("_a"))
+    right = heads.select(F.col("class").alias("b"), F.col("opening").alias("_b"))
+    wanted = F.expr(f"({PERCENT} * (n + m) + {99 + PERCENT}) div {100 + PERCENT}")
+    behind = F.expr(f"({PERCENT} * greatest(n, m) + 99) div 100 - 1")
+    enough = F.size(F.array_intersect("_a", "_b")) >= wanted - behind
+    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b", "n", "m")
+
+
+def _measured(docs: DataFrame, inside: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Jaccard distance of every pair (a, b), from the whole sets."""
+    pairs = written(pairs.select("a", "b"), "pairs")
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    members = written(_members(docs, inside.join(wanted, "class", "left_semi").select("doc_id")), "members")
     left = members.select(F.col("class").alias("a"), F.col("shingles").alias("_a"))
     right = members.select(F.col("class").alias("b"), F.col("shingles").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
     joined = pairs.join(left, "a").join(right, "b")
-    sized = joined.select(*pairs.columns, shared.alias("shared"), (F.size("_a") + F.size("_b")).alias("both"))
+    sized = joined.select("a", "b", shared.alias("shared"), (F.size("_a") + F.size("_b")).alias("both"))
     union = F.col("both") - F.col("shared")
-    return sized.select(
-        *pairs.columns, (1 - F.col("shared") / union).alias("distance"), (F.col("shared") * 100 >= union * PERCENT).alias("linked")
-    )
+    distance, linked = (1 - F.col("shared") / union).alias("distance"), (F.col("shared") * 100 >= union * PERCENT).alias("linked")
+    # an id that stands in several rows brings its set several times
+    return sized.select("a", "b", distance, linked).dropDuplicates(["a", "b"])
 
 
 def _near_in_size(a: str, b: str):
     return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
 
 
-def _regions(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Rows of region, class and rare for all regions of two and more sets; of regions with the same sets one stays."""
+def _regions(docs: DataFrame, common: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Openings (shingle, class) that are not alone, and rows of region, class and rare for all
+    regions of two and more sets; of regions with the same sets one stays."""
     twice = _openings(docs, common, False).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     rows = _openings(docs, common, True).join(twice, "shingle").groupBy("shingle", "class").agg(F.first("rare").alias("rare"))
     rows = written(rows, "openings")
@@ -183,7 +202,7 @@ def _regions(docs: DataFrame, common: np.ndarray) -> DataFrame:
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
     )
     kept = signature.where("n > 1").groupBy("n", "x", "y").agg(F.min("shingle").alias("shingle")).select("shingle")
-    return written(rows.join(kept, "shingle").withColumnRenamed("shingle", "region"), "regions")
+    return rows, written(rows.join(kept, "shingle").withColumnRenamed("shingle", "region"), "regions")
 
 
 def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
@@ -194,11 +213,10 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
     rows = again.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).select("shingle").toPandas()
     common = np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
 
-    regions = _regions(docs, common)
+    openings, regions = _regions(docs, common)
     inside = regions.select("class").distinct()
     sized = counted.where(F.col("class").isNotNull()).groupBy("class").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
     inside = written(sized.join(inside, "class", "left_semi"), "inside")
-    members = written(_members(docs, inside.select("doc_id")), "members")
     regions = written(regions.join(inside.select("class", "n"), "class"), "regions")
 
     labels = inside.select("class", F.col("class").alias("component"))
@@ -224,16 +242,16 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
         pivots = outside.groupBy("region").agg(F.min(F.struct("rare", "class", "n", "component")).alias("p"))
         pivots = pivots.select("region", F.col("p.class").alias("b"), F.col("p.n").alias("m"), F.col("p.component").alias("to"))
         pairs = active.join(pivots, "region").where((F.col("component") != F.col("to")) & _near_in_size("n", "m"))
-        pairs = pairs.select(F.col("class").alias("a"), "b").distinct()
+        pairs = pairs.select(F.col("class").alias("a"), "b", "n", "m").distinct()
         pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = written(_measured(pairs, members), "measured")
+        fresh = written(_measured(docs, inside, _admitted(pairs, openings)), "measured")
         known = known.unionByName(fresh)
         linked = written(found.unionByName(fresh.where("linked").select("a", "b")), "found")
         found = linked
         labels = _labels(inside, found)
 
     pairs = _open_pairs(active, known)
-    rest = _measured(pairs, members).where("linked").select("a", "b")
+    rest = _measured(docs, inside, _admitted(pairs, openings)).where("linked").select("a", "b")
     return written(found.unionByName(rest), "found")
 
 
@@ -252,8 +270,10 @@ def _open_pairs(active: DataFrame, known: DataFrame) -> DataFrame:
     one = active.where(F.col("component") != F.col("main")).select("region", F.col("class").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
     two = active.select("region", F.col("class").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
     pairs = one.join(two, "region").where((F.col("cu") != F.col("cv")) & _near_in_size("nu", "nv"))
-    pairs = pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    pairs = written(pairs, "open")
+    turned = F.col("u") > F.col("v")
+    either = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
+    pairs = pairs.select(either("u", "v", "a"), either("v", "u", "b"), either("nu", "nv", "n"), either("nv", "nu", "m"))
+    pairs = written(pairs.distinct(), "open")
     seen = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = pairs.join(seen, ["a", "b"], "left_anti")
     to_pivot = known.groupBy("a", "b").agg(F.min("distance").alias("distance"))
