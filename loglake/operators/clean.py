@@ -82,23 +82,40 @@ def clean_logs(
 
 
 def clean_audit(
-    df: DataFrame, message_length: int = 5, key: str = "_raw", order: Sequence[str] = POSITION
+    df: DataFrame,
+    message_length: int = 5,
+    key: str = "_raw",
+    order: Sequence[str] = POSITION,
+    null_handling: str = "drop",
 ) -> DataFrame:
-    """Rows removed by each rule of the dropping clean-up, each row counted once."""
+    """Rows removed by each rule of the clean-up, each row counted once, in the rules' order.
+
+    When nulls are filled no row goes for a null, a missing message is empty, and rows
+    without a time go last.
+    """
+    if null_handling not in ("drop", "fill"):
+        raise ValueError("null_handling must be 'drop' or 'fill'")
+    drops = F.lit(null_handling == "drop")
     slim = df.select(
         key, *order, F.col("timestamp").isNull().alias("no_time"), F.length("message").alias("chars")
     )
-    first = F.min_by(F.struct("no_time", "chars"), F.struct(*order)).alias("first")
-    lines = slim.groupBy(key).agg(F.count("*").alias("copies"), first)
-    null_row = F.col("first.no_time") | F.col("first.chars").isNull()
-    short = ~null_row & (F.col("first.chars") < message_length)
+    # a single number as the order keeps the buffers of fixed width, which a hash aggregate needs
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    lines = slim.groupBy(key).agg(
+        F.count("*").alias("copies"),
+        F.min_by("no_time", position).alias("no_time"),
+        F.min_by(F.coalesce("chars", F.lit(-1)), position).alias("chars"),
+    )
+    null_row = drops & (F.col("no_time") | (F.col("chars") < 0))
+    short = ~null_row & (F.col("chars") < message_length)
+    no_time = ~null_row & ~short & F.col("no_time")
     return lines.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("input_rows"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
         F.count_if(null_row).alias("null_rows"),
         F.count_if(short).alias("short_messages"),
-        F.lit(0).cast("bigint").alias("invalid_times"),
-        F.count_if(~null_row & ~short).alias("output_rows"),
+        F.count_if(no_time).alias("invalid_times"),
+        F.count_if(~null_row & ~short & ~no_time).alias("output_rows"),
     )
 
 

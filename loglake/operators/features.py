@@ -101,15 +101,17 @@ def numeric_features(df: DataFrame) -> dict[str, Column]:
     return {name: F.coalesce(column, F.lit(0)) for name, column in features.items()}
 
 
-def categories(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Sorted distinct values of a column that is about to become one column each.
+def categories(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a column that is about to become one column each, so it
+    is for columns with few values; ``one_hot_vector`` takes any number of them."""
+    return [row[0] for row in df.select(column).na.drop().distinct().orderBy(column).collect()]
 
-    More than ``limit`` of them are an error: no value is silently left out.
-    """
-    rows = df.select(column).na.drop().distinct().orderBy(column).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; too many for one column each")
-    return [row[0] for row in rows]
+
+def one_hot_vector(column: str) -> dict[str, Column]:
+    """The one-hot encoding of a column with any number of values as a sparse vector: the
+    place of its only 1, a 63-bit hash of the value; null has no place."""
+    place = F.when(F.col(column).isNotNull(), F.xxhash64(column).bitwiseAND(F.lit((1 << 63) - 1)))
+    return {f"{column}_place": place}
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> dict[str, Column]:

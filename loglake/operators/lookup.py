@@ -1,27 +1,17 @@
-"""Joining a big table to one that is expected to be small, with the size checked."""
+"""Joining a big table to one that is expected to be small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loglake.session import written
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
 
-
-def checked_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on ``key``, where ``small`` holds one row per key.
 
-    ``small`` is written once and counted. Up to ``BROADCAST_ROWS`` it is broadcast and
-    ``big`` is not shuffled. Beyond that both sides are shuffled on (key, salt), so that
-    a key holding a third of ``big`` is spread over ``SALTS`` tasks.
+    ``small`` is written once, so its size in bytes is known when the join is planned: below
+    the broadcast threshold ``big`` is not shuffled. Beyond it both sides are, and partitions
+    of a key that holds a large part of ``big`` are split at run time.
     """
-    small = written(small, "lookup")
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), key, how)
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted = small.withColumn("_salt", F.explode(salts))
-    salt = F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")
-    return big.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")
+    return big.join(written(small, "lookup"), key, how)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loglake import fixed_values as fv
 from loglake.functions.columns import coerce_timestamp, parse_severity, strip
-from loglake.operators.lookup import checked_join
+from loglake.operators.lookup import lookup_join
 from loglake.schema import RECORD_SCHEMA
 
 # (?s): a message may hold any character, line separators of other alphabets included.
@@ -103,7 +103,7 @@ def with_format(lines: DataFrame, mode: str = "file") -> DataFrame:
         return detect_format(lines)
     if mode != "file":
         raise ValueError(f"unknown mode {mode!r}: use 'file' or 'line'")
-    return checked_join(nonblank_lines(lines), file_formats(lines), "_file")
+    return lookup_join(nonblank_lines(lines), file_formats(lines), "_file")
 
 
 # Separates the captured groups; a line that itself contains it takes the slower way.

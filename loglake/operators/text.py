@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loglake import fixed_values as fv
 from loglake.functions.columns import percent
 from loglake.functions.text_columns import ngrams, once, tokens
-from loglake.operators.lookup import checked_join
+from loglake.operators.lookup import lookup_join
 from loglake.session import written
 
 KEYWORDS = [(level, word) for level, words in fv.SEVERITY_KEYWORDS.items() for word in words]
@@ -33,7 +33,7 @@ def token_table(df: DataFrame, stop_words: Sequence[str] = fv.LOG_STOP_WORDS) ->
 
 def lemmatize(token_rows: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Tokens replaced by their lemma where ``lemmas(token, lemma)`` has one."""
-    joined = checked_join(token_rows, lemmas, "token", "left")
+    joined = lookup_join(token_rows, lemmas, "token", "left")
     return joined.withColumn("token", F.coalesce("lemma", "token")).drop("lemma")
 
 

@@ -93,6 +93,7 @@ QUERIES = {
     "valid_timestamps": _gap_query(clean.valid_timestamps, "timestamp"),
     "coerce_timestamp": coerced,
     "clean_audit": lambda s, d: clean.clean_audit(t.gaps(s, d), key="message", order=("row_id",)),
+    "clean_audit_fill": lambda s, d: clean.clean_audit(t.gaps(s, d), key="message", order=("row_id",), null_handling="fill"),
     "clean_logs": cleaned,
     "filter_logs": filtered,
     "filter_choices": lambda s, d: clean.filter_choices(_enriched(s, d)),
@@ -107,6 +108,15 @@ QUERIES = {
     "enrich_logs": _columns(*ENRICHED_COLUMNS[1:]),
 }
 
+_AUDIT = """select cast(sum(copies) as bigint) as input_rows, cast(sum(copies - 1) as bigint) as duplicates,
+    count(*) filter (where gone) as null_rows,
+    count(*) filter (where not gone and chars < 5) as short_messages,
+    count(*) filter (where not gone and chars >= 5 and timestamp is null) as invalid_times,
+    count(*) filter (where not gone and chars >= 5 and timestamp is not null) as output_rows
+  from (select *, coalesce(length(message), 0) as chars, {null} as gone, row_number() over (partition by message order by row_id) as copy,
+      count(*) over (partition by message) as copies from gaps)
+  where copy = 1"""
+
 ORACLES = {
     "dedup_raw": v.with_views(
         """select file, line_no, value from (select *, row_number() over (partition by value order by file, line_no) as copy
@@ -127,17 +137,8 @@ ORACLES = {
            from logs""",
         "logs",
     ),
-    "clean_audit": v.with_views(
-        """select cast(sum(copies) as bigint) as input_rows, cast(sum(copies - 1) as bigint) as duplicates,
-             count(*) filter (where timestamp is null or message is null) as null_rows,
-             count(*) filter (where timestamp is not null and length(message) < 5) as short_messages,
-             cast(0 as bigint) as invalid_times,
-             count(*) filter (where timestamp is not null and length(message) >= 5) as output_rows
-           from (select *, row_number() over (partition by message order by row_id) as copy,
-                   count(*) over (partition by message) as copies from gaps)
-           where copy = 1""",
-        "gaps",
-    ),
+    "clean_audit": v.with_views(_AUDIT.format(null="timestamp is null or message is null"), "gaps"),
+    "clean_audit_fill": v.with_views(_AUDIT.format(null="false"), "gaps"),
     "clean_logs": v.with_views(f"select file, line_no, {', '.join(CLEAN_COLUMNS)} from cleaned", "cleaned"),
     "filter_logs": v.with_views(
         """select row_id, timestamp, level, service, message from enriched where level = 'ERROR' and service = 'svc-3'

@@ -95,15 +95,9 @@ def union_formats(spark, sf_dir):
     return web.unionByName(service, allowMissingColumns=True)
 
 
-def bursts(spark, sf_dir):
-    planted = render.plant_disturbances(test_tables.logs(spark, sf_dir))
-    return planted.select("row_id", "copy", "is_planted", "timestamp", "level", "status_code", "duration_ms")
-
-
 QUERIES = {
     "scan_raw_lines": scanned,
     "render_log_lines": rendered,
-    "inject_bursts": bursts,
     "union_formats": union_formats,
     "detect_format": detected,
     "detect_file_format": detected_files,

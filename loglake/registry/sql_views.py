@@ -24,15 +24,16 @@ def severity_case(column: str, table: dict = fv.LEVEL_SEVERITY) -> str:
 
 
 LOG_LINES = """
-select row_id, concat('f', cast(row_id % 6 as string)) as file, row_id as line_no,
- case row_id % 6
+select row_id, concat('f', cast(row_id % 5 as string)) as file, row_id as line_no,
+ case row_id % 5
   when 0 then concat(strftime(timestamp, '%b %d %H:%M:%S'), ' prod-01 ', service, '[', cast(1000 + row_id as string), ']: [', level, '] ', message)
   when 1 then concat(strftime(timestamp, '%Y-%m-%d %H:%M:%S,%g'), ' [thread-', cast(row_id % 50 as string), '] ', rpad(level, 8, ' '), ' ', service, ' - ', message)
   when 2 then concat('{"timestamp": "', strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f'), '", "level": "', level, '", "service": "', service, '", "message": "', message, '", "duration_ms": ', cast(duration_ms as string), '}')
   when 3 then concat('# ', level, ' ', strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f'), ' ', message)
-  when 4 then concat(ip, ' - - [', strftime(timestamp, '%d/%b/%Y:%H:%M:%S'), ' +0000] "', method, ' ', endpoint, ' HTTP/1.1" ', cast(status_code as string), ' ', cast(response_size as string), ' "-" "curl/8.4.0"')
-  else '  ' end as value
+  else concat(ip, ' - - [', strftime(timestamp, '%d/%b/%Y:%H:%M:%S'), ' +0000] "', method, ' ', endpoint, ' HTTP/1.1" ', cast(status_code as string), ' ', cast(response_size as string), ' "-" "curl/8.4.0"')
+  end as value
 from logs
+union all select row_id, 'f5', row_id, '  ' from logs where row_id % 6 = 5
 """
 
 LINE_FORMAT = f"""case when value like '{{%' and json_valid(value) then 'json'

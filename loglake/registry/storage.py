@@ -63,6 +63,25 @@ def processed(spark, sf_dir):
     )
 
 
+def stored_runs(spark, sf_dir):
+    """Two runs into one lake: the second leaves the first alone, and a repeated run replaces its own batch."""
+    root = scratch_path(spark, "lake")
+    lines = t.log_lines(spark, sf_dir)
+    for run, part in (("2024-02-01", "f0"), ("2024-02-02", "f9"), ("2024-02-01", "f9")):
+        batch.process_to_lake(lines.where(F.col("_file") < part), root, t.INGEST_TS, t.DEFAULT_YEAR, run)
+    table = spark.read.parquet(lake.zone_path(root, "processed", "logs"))
+    newest = lake.read_latest(spark, root, "processed", "logs").agg(F.count("*").alias("latest"))
+    counts = table.groupBy(F.col("run_date").cast("string").alias("run_date")).agg(F.count("*").alias("records"))
+    return counts.withColumn("latest", newest.scalar())
+
+
+def first_of_cluster(spark, sf_dir):
+    """First message by file and line of each given cluster of the processed records."""
+    rows = batch.with_row_id(batch.process(t.log_lines(spark, sf_dir), t.INGEST_TS, t.DEFAULT_YEAR))
+    given = rows.select(F.col("status_code").alias("cluster"), "message", "row_id").na.drop(subset=["cluster"])
+    return given.groupBy("cluster").agg(F.min_by("message", "row_id").alias("message"))
+
+
 def summary_json(spark, sf_dir):
     """The counts written as a JSON document and read again."""
     root = scratch_path(spark, "lake")
@@ -152,6 +171,8 @@ QUERIES = {
     "incremental_run": incremental,
     "scan_latest_batch": latest_batch,
     "processed_projection": processed,
+    "stored_runs": stored_runs,
+    "cluster_first_message": first_of_cluster,
     "batch_stats": lambda s, d: batch.batch_stats(_enriched(s, d)),
     "read_summary_json": summary_json,
     "aggregates_json": aggregates_json,
@@ -202,6 +223,16 @@ ORACLES = {
              when hour(timestamp) <= 18 then 'afternoon' else 'evening' end as time_bucket from cleaned""",
         "cleaned",
     ),
+    "stored_runs": v.with_views(
+        """select run_date, records, records as latest from (select count(*) as records from cleaned where file <> 'f9'),
+             (select unnest(['2024-02-01', '2024-02-02']) as run_date)""",
+        "cleaned",
+    ),
+    "cluster_first_message": v.with_views(
+        """select status_code as cluster, arg_min(message, file || lpad(cast(line_no as string), 12, '0')) as message
+           from cleaned where status_code is not null group by status_code""",
+        "cleaned",
+    ),
     "batch_stats": v.with_views(
         """select count(*) as total_records, 'row_id,timestamp,level,service,ip,method,endpoint,status_code,response_size,duration_ms,message,hour,day_of_week,date,is_business_hours,time_bucket,severity_num,message_length,status_category' as columns,
              min(timestamp) as start, max(timestamp) as "end" from enriched""",

@@ -18,16 +18,43 @@ def zone_path(root: str, zone: str, name: str = "") -> str:
 def store_table(
     df: DataFrame, root: str, zone: str, name: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
 ) -> str:
-    """Write a table into a zone; the raw line is not kept. Returns the path."""
+    """Write a table into a zone; the raw line is not kept. Returns the path.
+
+    With ``partition_by`` only the partitions that ``df`` holds are replaced, others stay.
+    """
     path = zone_path(root, zone, name)
-    df.drop("_raw").write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(path)
+    writer = df.drop("_raw").write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
     return path
 
 
+def store_batch(
+    df: DataFrame, root: str, zone: str, name: str, run: str, by: str = "run_date", partition_by: tuple[str, ...] = ()
+) -> str:
+    """Write the batch of one run below ``<by>=<run>``. A repeated run replaces its own
+    batch as a whole; the batches of all other runs stay. Returns the table's path."""
+    path = zone_path(root, zone, name)
+    df.drop("_raw", by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{by}={run}")
+    return path
+
+
+def _runs(spark: SparkSession, path: str, by: str) -> list[str]:
+    """Values of the first partition column, from one listing of a table's folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [entry.getPath().getName() for entry in listed if entry.isDirectory()]
+    return sorted(n.removeprefix(f"{by}=") for n in names if n.startswith(f"{by}="))
+
+
 def read_latest(spark: SparkSession, root: str, zone: str, name: str, by: str = "run_date") -> DataFrame:
-    """The newest batch of a table partitioned by ``by``; older partitions are not read."""
-    table = spark.read.parquet(zone_path(root, zone, name))
-    return table.where(F.col(by) == table.agg(F.max(by)).scalar())
+    """The newest batch of a table partitioned by ``by``; files of older ones are not opened."""
+    path = zone_path(root, zone, name)
+    runs = _runs(spark, path, by)
+    if not runs:
+        raise FileNotFoundError(f"no batch below {path}")
+    return spark.read.option("basePath", path).parquet(f"{path}/{by}={runs[-1]}")
 
 
 def retrieve(spark: SparkSession, root: str, zone: str, name: str) -> DataFrame:

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loglake.session import spread
+from loglake.session import spread, written
 
 
 def scan_raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """All lines below ``folder``; names starting with ``_`` or ``.`` are skipped.
 
-    ``_block`` is the offset of the file split and ``_line_no`` grows inside a split,
-    so (_file, _block, _line_no) is the reading order of the files in name order.
+    ``_line_no`` counts from 0 within the file, however the file is split among tasks: a
+    first pass counts the lines of every split. ``_block`` is 0, so (_file, _block, _line_no) is the
+    reading order of the files in name order.
     """
-    lines = spark.read.text(folder).select(
+    scan = spark.read.text(folder).select(
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line_no"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_seen"),
         "value",
     )
+    # ids grow by one inside a split, from where the task stands when it comes to it
+    splits = written(scan.groupBy("_file", "_start").agg(F.min("_seen").alias("_from"), F.count("*").alias("_lines")), "splits")
+    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("_lines").over(earlier), F.lit(0)) - F.col("_from")).alias("_shift")
+    lines = scan.join(splits.select("_file", "_start", shift), ["_file", "_start"]).select(
+        "_file", F.lit(0).cast("bigint").alias("_block"), (F.col("_seen") + F.col("_shift")).alias("_line_no"), "value"
+    )
     return spread(lines)

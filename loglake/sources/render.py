@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.functions.text_columns import once
-
 
 def apache_line() -> Column:
     return F.concat(
@@ -67,21 +65,21 @@ def render(records: DataFrame, fmt: str) -> DataFrame:
 
 
 def render_lines(records: DataFrame) -> DataFrame:
-    """Records spread over six files: four formats, one generic, one of blank lines."""
-    kind = F.col("row_id") % 6
+    """Every record as a line of one of five files, four formats and a generic one; with
+    every sixth record a blank line is added to a sixth file."""
+    kind = F.col("row_id") % 5
     value = (
         F.when(kind == 0, syslog_line())
         .when(kind == 1, application_line())
         .when(kind == 2, json_line())
         .when(kind == 3, generic_line())
-        .when(kind == 4, apache_line())
-        .otherwise("  ")
+        .otherwise(apache_line())
     )
-    return records.select(
-        F.concat(F.lit("f"), kind.cast("string")).alias("_file"),
-        F.lit(0).cast("bigint").alias("_block"),
-        F.col("row_id").alias("_line_no"),
-        once(value).alias("value"),
+    line = F.struct(F.concat(F.lit("f"), kind.cast("string")).alias("_file"), value.alias("value"))
+    blank = F.struct(F.lit("f5").alias("_file"), F.lit("  ").alias("value"))
+    lines = F.when(F.col("row_id") % 6 == 5, F.array(line, blank)).otherwise(F.array(line))
+    return records.select(F.col("row_id").alias("_line_no"), F.inline(lines)).select(
+        "_file", F.lit(0).cast("bigint").alias("_block"), "_line_no", "value"
     )
 
 

@@ -26,7 +26,9 @@ def process_new_files(
 
     Every micro-batch writes its own ``batch`` partition and replaces it when it is
     repeated after a failure, so no file counts twice. ``progress`` is the stream's
-    checkpoint folder. Duplicates are removed within a run.
+    checkpoint folder, which also keeps two hashes of every line taken in: duplicates of
+    lines of earlier runs are removed as well as those within a run, so the table grows
+    to what one batch over all files gives.
     """
     lines = spark.readStream.text(raw_folder).select(
         F.col("_metadata.file_path").alias("_file"),
@@ -36,7 +38,7 @@ def process_new_files(
 
     def write_batch(batch: DataFrame, number: int) -> None:
         numbered = spread(batch.withColumn("_line_no", F.monotonically_increasing_id()))
-        records = process(numbered, ingest_ts, default_year, **cleaning)
+        records = process(numbered, ingest_ts, default_year, known_lines=f"{progress}/lines", run=number, **cleaning)
         records.drop("_raw").write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     query = (

@@ -3,13 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loglake.operators.clean import clean_logs, dedup_keep_first
+from loglake.operators.clean import clean_audit, clean_logs, dedup_keep_first
 from loglake.operators.enrich import enrich_logs
-from loglake.operators.lookup import checked_join
+from loglake.operators.lookup import lookup_join
 from loglake.operators.parse import parse_logs
 from loglake.plans import batch
 from loglake.schema import LINE_SCHEMA
 from loglake.sources import lake, render, test_tables as t
+from loglake.sources.raw_text import scan_raw_lines
 
 NOW = "2026-01-01 00:00:00"
 APACHE = '10.0.0.1 - - [09/Mar/2026:10:15:30 +0000] "GET /a HTTP/1.1" 200 1 "-" "x"'
@@ -55,13 +56,21 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in text
 
 
-@pytest.mark.parametrize("limit", [10, 0])
-def test_checked_join_gives_the_same_either_way(spark, monkeypatch, limit):
-    monkeypatch.setattr("loglake.operators.lookup.BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_lookup_join_gives_the_same_either_way(spark, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        _lookups(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _lookups(spark):
     big = spark.range(300).selectExpr("id", "case when id < 200 then 'hot' else concat('k', id % 5) end as key")
     small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "key string, v int")
-    assert checked_join(big, small, "key").count() == 240
-    assert checked_join(big, small, "key", "left").count() == 300
+    assert lookup_join(big, small, "key").count() == 240
+    assert lookup_join(big, small, "key", "left").count() == 300
 
 
 def test_lake_zones(spark, sf_dir, tmp_path):
@@ -88,13 +97,45 @@ def test_latest_run_only(spark, sf_dir, tmp_path):
     assert lake.read_latest(spark, str(tmp_path), "processed", "logs").count() == rows.where("row_id >= 600").count()
 
 
+def test_runs_keep_each_other(spark, sf_dir, tmp_path):
+    lines = t.log_lines(spark, sf_dir).where("_file < 'f2'")
+    for run in ("2024-02-01", "2024-02-02"):
+        latest = batch.process_to_lake(lines, str(tmp_path), t.INGEST_TS, t.DEFAULT_YEAR, run)
+    stored = spark.read.parquet(lake.zone_path(str(tmp_path), "processed", "logs"))
+    counts = {str(r.run_date): r["count"] for r in stored.groupBy("run_date").count().collect()}
+    assert counts == {"2024-02-01": latest.count(), "2024-02-02": latest.count()}
+    assert {str(r.run_date) for r in latest.select("run_date").distinct().collect()} == {"2024-02-02"}
+
+
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
+    for name in ("a.log", "b.log"):
+        (tmp_path / name).write_text("".join(f"{name} line {i}\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("4k", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = batch.with_row_id(scan_raw_lines(spark, str(tmp_path))).orderBy("row_id").collect()
+            assert [r.value for r in rows] == [f"{n} line {i}" for n in ("a.log", "b.log") for i in range(3000)]
+            assert [r._line_no for r in rows] == [*range(3000)] * 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_audit_of_filled_rows_counts_those_without_a_time(spark, sf_dir):
+    gaps = t.gaps(spark, sf_dir)
+    audit = clean_audit(gaps, key="row_id", order=("row_id",), null_handling="fill").first()
+    kept = clean_logs(gaps, False, "fill").count()
+    assert audit.output_rows == kept and audit.invalid_times > 0 and audit.null_rows == 0
+    assert "SortAggregate" not in plan(clean_audit(gaps, key="message", order=("row_id",)))
+
+
 def test_whole_analysis(spark, sf_dir, tmp_path):
     lines = t.log_lines(spark, sf_dir)
     stored = batch.process_to_lake(lines, str(tmp_path), t.INGEST_TS, t.DEFAULT_YEAR, "2024-02-01")
     tables = batch.analyze(batch.with_row_id(stored), str(tmp_path))
-    assert tables["scored"].count() == stored.count() == 834
+    assert tables["scored"].count() == stored.count() == 1000
     assert tables["patterns"].count() == 10
-    assert tables["total_messages"].first().total_messages == 834
+    assert tables["total_messages"].first().total_messages == 1000
     assert (tmp_path / "models" / "anomaly" / "nodes").exists()
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loglake.operators.aggregate import duration_stats, error_rate, histogram, time_bucket_distribution
 from loglake.operators.enrich import enrich_logs
-from loglake.operators.features import categories, extract_features, record_features, window_features
+from loglake.operators.features import categories, one_hot_vector, extract_features, record_features, window_features
 from loglake.operators.percentiles import exact_percentiles
 
 
@@ -52,9 +52,11 @@ def test_modes(frame):
         window_features(frame.drop("timestamp"))
 
 
-def test_too_many_categories_is_an_error(frame):
-    with pytest.raises(ValueError):
-        categories(frame, "message", limit=99)
+def test_any_number_of_categories_is_encoded(frame):
+    values = categories(frame, "message")
+    places = frame.select("message", *(c.alias(n) for n, c in one_hot_vector("message").items()))
+    assert places.where("message is not null").select("message_place").distinct().count() == len(values) == 100
+    assert places.where("message_place < 0 or (message is null) <> (message_place is null)").isEmpty()
 
 
 @pytest.mark.parametrize(

@@ -22,7 +22,7 @@ def test_same_rows_as_sql(spark, sf_dir, con, name):
     assert oracle.difference(spark, sf_dir, QUERIES[name], ORACLES[name], con) is None
 
 
-@pytest.mark.parametrize("name", ["inject_bursts", "nlp_analysis", "aggregates_json", "file_manifest", "file_metadata", "report_document"])
+@pytest.mark.parametrize("name", ["nlp_analysis", "aggregates_json", "file_manifest", "file_metadata", "report_document"])
 def test_returns_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
