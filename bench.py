@@ -9,17 +9,18 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loglake import registry  # noqa: E402
-from loglake.session import build_session  # noqa: E402
+from loglake.session import build_session, job  # noqa: E402
 
 HEADLINES = (
     "parse_logs", "parse_stats", "clean_logs", "processed_projection", "enrich_logs", "aggregate_all",
     "duration_stats", "record_features", "feature_summary", "window_features", "iforest_scores",
-    "tfidf", "kmeans_patterns", "cluster_terms", "top_keywords", "ngrams", "severity_counts", "nlp_insights",
+    "tfidf", "svd_components", "kmeans_patterns", "dbscan_patterns", "cluster_terms", "top_keywords", "ngrams", "severity_counts", "nlp_insights",
     "report_sections",
 )
 
@@ -33,6 +34,7 @@ def main() -> None:
         **{
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="loglake-bench-"),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         },
     )
@@ -42,7 +44,8 @@ def main() -> None:
     for name in sys.argv[1:] or HEADLINES:
         for _ in range(2):
             start = time.perf_counter()
-            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            with job(spark):
+                queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
     print(

@@ -8,14 +8,10 @@ shuffle, so a message that makes up a third of the log is one weighted row here.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +24,9 @@ from loglake.session import written
 MAX_TERMS = 5000
 COMPONENTS = 50
 SEED = 42
+#: Distinct messages that K-Means may start from, and the step below which a run has settled.
+START_SAMPLE = 2000
+SETTLED = 1e-4
 
 
 def weighted_messages(df: DataFrame) -> DataFrame:
@@ -213,25 +212,91 @@ def explained_variance(reduced: DataFrame, vectors: DataFrame) -> float:
     return float(kept / whole) if whole else 0.0
 
 
-def kmeans(
-    reduced: DataFrame, clusters: int, restarts: int = 10, iterations: int = 300, seed: int = SEED
-) -> KMeansModel:
-    """Best of ``restarts`` K-Means runs on weighted distinct messages.
+def _cluster_sums(points: DataFrame, centers: dict[int, np.ndarray]) -> pd.DataFrame:
+    """Weight, cost and weighted sum of every cluster of every restart, from one pass.
 
-    The runs are independent, so their jobs are submitted side by side.
+    A task returns one row per restart and cluster it has met, whatever the number of points.
     """
-    points = reduced.select("n", array_to_vector("reduced").alias("features")).persist()
-    points.count()
+    width = next(iter(centers.values())).shape[1]
+    names = [f"d{i}" for i in range(width)]
+    shared = points.sparkSession.sparkContext.broadcast(centers)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {a: np.zeros((len(c), width + 2)) for a, c in shared.value.items()}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x, n = np.stack(pdf["reduced"].to_numpy()), pdf["n"].to_numpy(float)
+            own = (x * x).sum(axis=1)
+            for a, c in shared.value.items():
+                distance = (c * c).sum(axis=1)[None, :] - 2 * x @ c.T
+                label = distance.argmin(axis=1)
+                member = np.zeros((len(c), len(x)))
+                member[label, np.arange(len(x))] = n
+                totals[a][:, 0] += member.sum(axis=1)
+                totals[a][:, 1] += member @ np.maximum(own + distance.min(axis=1), 0)
+                totals[a][:, 2:] += member @ x
+        for a, total in totals.items():
+            seen = np.flatnonzero(total[:, 0])
+            yield pd.DataFrame(total[seen], columns=["weight", "cost", *names]).assign(attempt=a, cluster=seen)
+
+    schema = ", ".join(f"{c} double" for c in ("weight", "cost", *names)) + ", attempt int, cluster int"
+    sums = {c: "sum" for c in ("weight", "cost", *names)}
+    rows = points.select("n", "reduced").mapInPandas(partial, schema).groupBy("attempt", "cluster").agg(sums)
+    return rows.toPandas().rename(columns=lambda c: c[4:-1] if c.startswith("sum(") else c)
+
+
+def _first_centers(x: np.ndarray, n: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """Points drawn in proportion to their weight times their distance to those drawn before."""
+    chosen = [x[draw.choice(len(x), p=n / n.sum())]]
+    while len(chosen) < k:
+        near = np.min([((x - c) ** 2).sum(axis=1) for c in chosen], axis=0) * n
+        total = near.sum()
+        chosen.append(x[draw.choice(len(x), p=near / total) if total > 0 else draw.integers(len(x))])
+    return np.array(chosen)
+
 
-    def run(attempt: int) -> KMeansModel:
-        return KMeans(k=clusters, maxIter=iterations, seed=seed + attempt, weightCol="n").fit(points)
+def kmeans(
+    reduced: DataFrame, clusters: int, restarts: int = 10, iterations: int = 300, seed: int = SEED
+) -> np.ndarray:
+    """Centres of the best of ``restarts`` K-Means runs on weighted distinct messages.
 
-    try:
-        with ThreadPoolExecutor(max_workers=min(restarts, 10)) as pool:
-            models = list(pool.map(inheritable_thread_target(reduced.sparkSession)(run), range(restarts)))
-    finally:
-        points.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
+    All runs move on together: one pass over the points serves every run that has not
+    settled. Starting points come from a bounded sample chosen by a hash of the message.
+    """
+    order = [F.xxhash64("message", F.lit(seed)), F.col("message")]
+    sample = reduced.orderBy(*order).limit(START_SAMPLE).select("n", "reduced").toPandas()
+    x, n = np.stack(sample["reduced"].to_numpy()), sample["n"].to_numpy(float)
+    centers = {a: _first_centers(x, n, clusters, np.random.default_rng(seed + a)) for a in range(restarts)}
+    best, best_cost, active = centers[0], np.inf, dict(centers)
+    for turn in range(iterations):
+        sums = _cluster_sums(reduced, active)
+        for a, rows in sums.groupby("attempt"):
+            cost, old = rows["cost"].sum(), active[a]
+            if cost < best_cost:
+                best, best_cost = old, cost
+            moved = old.copy()  # a cluster without points keeps its centre
+            at = rows["cluster"].to_numpy()
+            moved[at] = rows[[f"d{i}" for i in range(old.shape[1])]].to_numpy() / rows[["weight"]].to_numpy()
+            if ((moved - old) ** 2).sum(axis=1).max() <= SETTLED**2:
+                del active[a]
+            else:
+                active[a] = moved
+        if not active:
+            break
+    return best
+
+
+def nearest_center(points: DataFrame, centers: np.ndarray, name: str) -> DataFrame:
+    """Adds the number of the nearest centre; of equally near ones the first."""
+    shared = points.sparkSession.sparkContext.broadcast(centers)
+
+    @F.pandas_udf("int")
+    def nearest(reduced: pd.Series) -> pd.Series:
+        x, c = np.stack(reduced.to_numpy()), shared.value
+        return pd.Series(((c * c).sum(axis=1)[None, :] - 2 * x @ c.T).argmin(axis=1))
+
+    return points.withColumn(name, nearest("reduced"))
 
 
 def number_clusters(labelled: DataFrame, raw: str = "raw_cluster") -> DataFrame:
@@ -324,16 +389,7 @@ class PatternModel:
         vocab = spark.createDataFrame(self.vocab, "place int, term string, idf double")
         vectors = message_vectors(weighted_messages(df), vocab)
         reduced = reduce_vectors(vectors, _components_or_identity(self.components, len(self.vocab)))
-        centers = spark.sparkContext.broadcast(self.centers)
-
-        @F.pandas_udf("int")
-        def nearest(points: pd.Series) -> pd.Series:
-            x = np.stack(points.to_numpy())
-            c = centers.value
-            distance = (c * c).sum(axis=1)[None, :] - 2 * x @ c.T
-            return pd.Series(distance.argmin(axis=1))
-
-        return reduced.select("message", "n", "first_row", nearest("reduced").alias("cluster"))
+        return nearest_center(reduced, self.centers, "cluster").select("message", "n", "first_row", "cluster")
 
     def save(self, spark: SparkSession, folder: str) -> None:
         width = 0 if self.components is None else self.components.shape[1]
@@ -410,10 +466,8 @@ def fit_patterns(
     )
     centers = None
     if algorithm == "kmeans":
-        model = kmeans(reduced, max(min(clusters, rows - 1), 2), restarts)
-        labelled = model.transform(
-            reduced.withColumn("features", array_to_vector("reduced"))
-        ).withColumnRenamed("prediction", "raw_cluster")
+        found = kmeans(reduced, max(min(clusters, rows - 1), 2), restarts)
+        labelled = nearest_center(reduced, found, "raw_cluster")
     else:
         labelled = dbscan(reduced)
     labelled = written(
@@ -421,7 +475,7 @@ def fit_patterns(
     )
     if algorithm == "kmeans":
         numbers = labelled.select("cluster", "raw_cluster").distinct().orderBy("cluster").collect()
-        centers = np.array(model.clusterCenters())[[r.raw_cluster for r in numbers]]
+        centers = found[[r.raw_cluster for r in numbers]]
 
     sizes = cluster_sizes(labelled)
     terms = cluster_terms(labelled.select("cluster", "n", F.inline("terms")), sizes)

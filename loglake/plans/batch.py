@@ -11,7 +11,7 @@ from loglake.operators.clean import clean_logs, first_copies
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.features import record_features
 from loglake.operators.parse import parse_lines, records_of, with_format
-from loglake.session import written
+from loglake.session import job, written
 from loglake.sources import lake, test_tables
 
 
@@ -54,8 +54,9 @@ def _new_lines(formatted: DataFrame, known_lines: str, run: int) -> DataFrame:
 def process_to_lake(lines: DataFrame, root: str, ingest_ts: str, default_year: int, run_date: str) -> DataFrame:
     """Process lines into the lake once and return the stored batch, which every later
     step scans. The table is partitioned by run and by day."""
-    batch = process(lines, ingest_ts, default_year)
-    lake.store_batch(batch, root, "processed", "logs", run_date, partition_by=("date",))
+    with job(lines.sparkSession):
+        batch = process(lines, ingest_ts, default_year)
+        lake.store_batch(batch, root, "processed", "logs", run_date, partition_by=("date",))
     return lake.read_latest(lines.sparkSession, root, "processed", "logs")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +43,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_job: ContextVar[str] = ContextVar("job", default="")
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end.
+
+    What is built inside must be consumed inside: a table that reads them is lost afterwards.
+    """
+    name = f"job-{uuid.uuid4().hex}/"
+    token = _job.set(name)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/loglake/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table inside the shared folder."""
-    return f"{shared_folder(spark)}/loglake/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/loglake/{_job.get()}{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

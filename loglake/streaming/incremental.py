@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglake.plans.batch import process
-from loglake.session import spread
+from loglake.session import job, spread
 
 
 def process_new_files(
@@ -38,8 +38,9 @@ def process_new_files(
 
     def write_batch(batch: DataFrame, number: int) -> None:
         numbered = spread(batch.withColumn("_line_no", F.monotonically_increasing_id()))
-        records = process(numbered, ingest_ts, default_year, known_lines=f"{progress}/lines", run=number, **cleaning)
-        records.drop("_raw").write.mode("overwrite").parquet(f"{table}/batch={number}")
+        with job(spark):
+            records = process(numbered, ingest_ts, default_year, known_lines=f"{progress}/lines", run=number, **cleaning)
+            records.drop("_raw").write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     query = (
         lines.writeStream.foreachBatch(write_batch)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,7 +17,7 @@ def spark():
     session = build_session(
         "loglake-tests",
         "local[8]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": 8, "spark.driver.memory": "6g"},
+        **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="loglake-tests-"), "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": 8, "spark.driver.memory": "6g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
