@@ -426,7 +426,7 @@ class PatternModel:
 
 CLUSTER_SCHEMA = (
     "cluster int, size bigint, percentage double, representative string, "
-    "top_terms array<struct<term: string, mean_weight: double>>"
+    "top_terms array<struct<term: string, mean_weight: double>>, common_words array<string>"
 )
 
 
@@ -487,10 +487,14 @@ def fit_patterns(
             "ranked", lambda t: F.struct(t["term"].alias("term"), t["mean_weight"].alias("mean_weight"))
         ).alias("top_terms"),
     )
+    words = cluster_words(labelled).groupBy("cluster").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "word")))["word"].alias("common_words")
+    )
     info = (
         sizes.join(cluster_representative(labelled), "cluster")
         .join(top, "cluster", "left")
-        .select("cluster", "size", "percentage", "representative", "top_terms")
+        .join(words, "cluster", "left")
+        .select("cluster", "size", "percentage", "representative", "top_terms", "common_words")
     )
     model = PatternModel(algorithm, vocab, components, centers, written(info, "patterns"))
     return model, labelled.select("message", "n", "first_row", "cluster")

@@ -67,7 +67,7 @@ def stored_runs(spark, sf_dir):
     """Two runs into one lake: the second leaves the first alone, and a repeated run replaces its own batch."""
     root = scratch_path(spark, "lake")
     lines = t.log_lines(spark, sf_dir)
-    for run, part in (("2024-02-01", "f0"), ("2024-02-02", "f9"), ("2024-02-01", "f9")):
+    for run, part in (("2024-02-01", "f2"), ("2024-02-02", "f9"), ("2024-02-01", "f9")):
         batch.process_to_lake(lines.where(F.col("_file") < part), root, t.INGEST_TS, t.DEFAULT_YEAR, run)
     table = spark.read.parquet(lake.zone_path(root, "processed", "logs"))
     newest = lake.read_latest(spark, root, "processed", "logs").agg(F.count("*").alias("latest"))
