@@ -34,11 +34,11 @@ PERCENT = 80
 RADIUS = 1 - PERCENT / 100
 #: A shingle is common if it is counted so often, counting only what repeats inside a batch
 #: of documents. Common shingles come last in the order; what is missed costs time, not links.
-COMMON = 32
-LOCAL = 3
+COMMON = 16
+LOCAL = 2
 MOST_COMMON = 1 << 18
 #: Open pairs for each set in a region that may be compared one by one.
-CHEAP = 8
+CHEAP = 4
 ROUNDS = 12
 
 
@@ -157,13 +157,12 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "class bigint, shingles array<bigint>")
 
 
-def _admitted(pairs: DataFrame, openings: DataFrame) -> DataFrame:
+def _admitted(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """Pairs (a, b) of n and m shingles that can be within the radius by their opening shingles.
 
     Of a set's members behind its openings ``ceil(0.8 n) - 1`` are left, so an overlap of
     ``4 (n + m) / 9`` needs a number of common openings, which both sets' openings show.
     """
-    heads = written(openings.groupBy("class").agg(F.collect_list("shingle").alias("opening")), "heads")
     left = heads.select(F.col("class").alias("a"), F.col("opening").alias("_a"))
     right = heads.select(F.col("class").alias("b"), F.col("opening").alias("_b"))
     wanted = F.expr(f"({PERCENT} * (n + m) + {99 + PERCENT}) div {100 + PERCENT}")
@@ -214,6 +213,7 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
     common = np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
 
     openings, regions = _regions(docs, common)
+    heads = written(openings.groupBy("class").agg(F.collect_list("shingle").alias("opening")), "heads")
     inside = regions.select("class").distinct()
     sized = counted.where(F.col("class").isNotNull()).groupBy("class").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
     inside = written(sized.join(inside, "class", "left_semi"), "inside")
@@ -222,9 +222,9 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
     labels = inside.select("class", F.col("class").alias("component"))
     found = spark.createDataFrame([], "a bigint, b bigint")
     known = spark.createDataFrame([], "a bigint, b bigint, distance double, linked boolean")
-    placed = regions
+    rest = regions
     for turn in range(ROUNDS + 1):
-        placed = written(regions.join(labels, "class"), "placed")
+        placed = written(rest.join(labels, "class"), "placed")
         shares = placed.groupBy("region", "component").agg(F.count("*").alias("held"))
         spread = shares.groupBy("region").agg(
             F.count("*").alias("parts"), F.sum("held").alias("all"), F.sum(F.col("held") * F.col("held")).alias("tied"),
@@ -241,17 +241,21 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
         outside = active if not turn else active.where(F.col("component") != F.col("main"))
         pivots = outside.groupBy("region").agg(F.min(F.struct("rare", "class", "n", "component")).alias("p"))
         pivots = pivots.select("region", F.col("p.class").alias("b"), F.col("p.n").alias("m"), F.col("p.component").alias("to"))
+        pivots = written(pivots, "pivots")
+        # with all its pairs decided, a pivot leaves its region; regions of one component are done
+        rest = active.join(pivots.select("region", "b"), "region").where(F.col("class") != F.col("b"))
+        rest = rest.select("region", "class", "rare", "n")
         pairs = active.join(pivots, "region").where((F.col("component") != F.col("to")) & _near_in_size("n", "m"))
         pairs = pairs.select(F.col("class").alias("a"), "b", "n", "m").distinct()
         pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = written(_measured(docs, inside, _admitted(pairs, openings)), "measured")
+        fresh = written(_measured(docs, inside, _admitted(pairs, heads)), "measured")
         known = known.unionByName(fresh)
         linked = written(found.unionByName(fresh.where("linked").select("a", "b")), "found")
         found = linked
         labels = _labels(inside, found)
 
     pairs = _open_pairs(active, known)
-    rest = _measured(docs, inside, _admitted(pairs, openings)).where("linked").select("a", "b")
+    rest = _measured(docs, inside, _admitted(pairs, heads)).where("linked").select("a", "b")
     return written(found.unionByName(rest), "found")
 
 
