@@ -130,9 +130,10 @@ class GatedAttention:
         return np.clip((features - self.mean) / self.scale, -8, 8)
 
     def scores(self, found: Passages) -> tuple[np.ndarray, np.ndarray]:
-        """Score of every text and attention of every passage."""
+        """Score of every text and attention of every passage. Scores are rounded, since a
+        matrix product's last digits depend on how many rows are multiplied together."""
         layers = self.forward(self.standard(found.features), found.text)
-        return _logistic(layers["logit"]), layers["a"]
+        return np.round(_logistic(layers["logit"]), 9), layers["a"]
 
 
 def fit(texts: list[str], labels: np.ndarray) -> GatedAttention:
