@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.components import components
@@ -40,6 +40,8 @@ MOST_COMMON = 1 << 18
 #: Open pairs for each set in a region that may be compared one by one.
 CHEAP = 4
 ROUNDS = 12
+#: Bits that mark documents whose sets are needed.
+BITS = 1 << 26
 
 
 def sets(piece: Slice) -> list[np.ndarray]:
@@ -142,19 +144,38 @@ def _openings(docs: DataFrame, common: np.ndarray, with_class: bool) -> DataFram
     return _slim(docs).mapInArrow(run, schema)
 
 
+def _bit(doc_id: str = "doc_id") -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(BITS))
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """One bit for the hash of every id: ``BITS / 8`` bytes at most, however many ids there are."""
+    page = F.lit(1 << 15)
+    rows = ids.groupBy((_bit() / page).cast("int").alias("page")).agg(F.bitmap_construct_agg(_bit() % page).alias("bits"))
+    bits = np.zeros(BITS // 8, np.uint8)
+    for row in rows.collect():
+        bits[row.page << 12 : (row.page + 1) << 12] = np.frombuffer(bytes(row.bits), np.uint8)
+    return bits
+
+
 def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sets of the wanted documents: class and its sorted shingles."""
+    """Sets of the wanted documents: class and its sorted shingles. No text is shuffled: the scan
+    keeps what a bitmap of bounded size marks, so a few other sets may come along."""
+    marked = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = marked.value
         for batch in batches:
-            for piece in slices(batch.column("_text")):
+            bit = batch.column("_bit").to_numpy()
+            few = batch.filter(pa.array((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+            for piece in slices(few.column("_text")):
                 own = sets(piece)
                 lists = pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))
                 classes = pa.array([class_of(s) if len(s) else None for s in own], pa.int64())
                 yield pa.RecordBatch.from_arrays([classes, lists], ["class", "shingles"])
 
-    rows = _slim(docs).join(wanted, "doc_id", "left_semi")
-    return rows.mapInArrow(run, "class bigint, shingles array<bigint>")
+    rows = docs.select(_bit().alias("_bit"), F.col("text").cast("string").alias("_text"))
+    return rows.mapInArrow(run, "class bigint, shingles array<bigint>").where(F.col("class").isNotNull())
 
 
 def _admitted(pairs: DataFrame, heads: DataFrame) -> DataFrame:
