@@ -38,7 +38,7 @@ COMMON = 16
 LOCAL = 2
 MOST_COMMON = 1 << 18
 #: Open pairs for each set in a region that may be compared one by one.
-CHEAP = 4
+CHEAP = 16
 ROUNDS = 12
 #: Bits that mark documents whose sets are needed.
 BITS = 1 << 26
@@ -178,8 +178,9 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "class bigint, shingles array<bigint>").where(F.col("class").isNotNull())
 
 
-def _admitted(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) of n and m shingles that can be within the radius by their opening shingles.
+def _judged(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) of n and m shingles: can they be within the radius by their opening
+    shingles (``admitted``), and the distance that these leave at least (``apart``)?
 
     Of a set's members behind its openings ``ceil(0.8 n) - 1`` are left, so an overlap of
     ``4 (n + m) / 9`` needs a number of common openings, which both sets' openings show.
@@ -188,8 +189,10 @@ def _admitted(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     right = heads.select(F.col("class").alias("b"), F.col("opening").alias("_b"))
     wanted = F.expr(f"({PERCENT} * (n + m) + {99 + PERCENT}) div {100 + PERCENT}")
     behind = F.expr(f"({PERCENT} * greatest(n, m) + 99) div 100 - 1")
-    enough = F.size(F.array_intersect("_a", "_b")) >= wanted - behind
-    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b", "n", "m")
+    most = F.least(F.size(F.array_intersect("_a", "_b")) + behind, "n", "m").alias("most")
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", most)
+    apart = (1 - F.col("most") / (F.col("n") + F.col("m") - F.col("most"))).alias("apart")
+    return written(rows.select("a", "b", (F.col("most") >= wanted).alias("admitted"), apart), "judged")
 
 
 def _measured(docs: DataFrame, inside: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -269,14 +272,20 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
         pairs = active.join(pivots, "region").where((F.col("component") != F.col("to")) & _near_in_size("n", "m"))
         pairs = pairs.select(F.col("class").alias("a"), "b", "n", "m").distinct()
         pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = written(_measured(docs, inside, _admitted(pairs, heads)), "measured")
+        judged = _judged(pairs, heads)
+        fresh = written(_measured(docs, inside, judged.where("admitted")), "measured")
+        if not turn:
+            first = pivots.select("region", F.col("b").alias("pivot"))
+            exact = fresh.select("a", "b", F.col("distance").alias("low"), F.col("distance").alias("high"))
+            bounds = judged.where("not admitted").select("a", "b", F.col("apart").alias("low"), F.lit(1.0).alias("high"))
+            near = exact.unionByName(bounds).select(F.col("a").alias("class"), F.col("b").alias("pivot"), "low", "high")
         known = known.unionByName(fresh)
         linked = written(found.unionByName(fresh.where("linked").select("a", "b")), "found")
         found = linked
         labels = _labels(inside, found)
 
-    pairs = _open_pairs(active, known)
-    rest = _measured(docs, inside, _admitted(pairs, heads)).where("linked").select("a", "b")
+    judged = _judged(_open_pairs(active.join(first, "region", "left"), near, known), heads)
+    rest = _measured(docs, inside, judged.where("admitted")).where("linked").select("a", "b")
     return written(found.unionByName(rest), "found")
 
 
@@ -290,11 +299,19 @@ def _labels(inside: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(active: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of one region and different components whose distances to every common pivot differ by the radius at most."""
-    one = active.where(F.col("component") != F.col("main")).select("region", F.col("class").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-    two = active.select("region", F.col("class").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
-    pairs = one.join(two, "region").where((F.col("cu") != F.col("cv")) & _near_in_size("nu", "nv"))
+def _open_pairs(active: DataFrame, near: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of one region and different components whose distances to every common pivot
+    differ by the radius at most. The region's first pivot decides within the join, the others after it."""
+    placed = active.join(near, ["class", "pivot"], "left").na.fill({"low": 0.0, "high": 1.0})
+    side = lambda x: [F.col(c).alias(x + c) for c in ("class", "n", "component", "low", "high")]
+    one = placed.where(F.col("component") != F.col("main")).select("region", *side("u_"))
+    two = placed.select("region", *side("v_"))
+    reach = RADIUS + 1e-9
+    window = (F.col("u_low") - F.col("v_high") <= reach) & (F.col("v_low") - F.col("u_high") <= reach)
+    pairs = one.join(two, "region").where(
+        (F.col("u_component") != F.col("v_component")) & _near_in_size("u_n", "v_n") & window
+    )
+    pairs = pairs.select(F.col("u_class").alias("u"), F.col("v_class").alias("v"), F.col("u_n").alias("nu"), F.col("v_n").alias("nv"))
     turned = F.col("u") > F.col("v")
     either = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
     pairs = pairs.select(either("u", "v", "a"), either("v", "u", "b"), either("nu", "nv", "n"), either("nv", "nu", "m"))
