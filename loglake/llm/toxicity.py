@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from loglake.llm.words import LOWER, Hasher, Slice, runs, slices
 
-#: Bounds of the training sample: texts per label, and characters of one text. Longer texts are scored, not learned from.
+#: Bounds of the training sample: texts per label, and their characters in total (the text that crosses it is still taken).
 SAMPLE = 3000
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 20_000_000
 #: A word needs so many distinct training texts to get a weight.
 MIN_TEXTS = 5
 EPOCHS = 300
@@ -97,13 +97,16 @@ def noisy_or(logits: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
     return -np.expm1(-np.bincount(bag, _softplus(logits), minlength=bags))
 
 
-def fit(texts: list[str], labels: np.ndarray) -> NoisyOr:
+def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray | None = None) -> NoisyOr:
     """Gradient steps on the likelihood of document labels, small weights held at zero.
 
-    Equal texts count once. Without both labels the model is its bias alone.
+    ``weights`` tells how many labelled documents each text stands for. Equal texts
+    count once. Without both labels the model is its bias alone.
     """
     _, once = np.unique(pd.util.hash_array(np.array(texts, object)), return_index=True) if texts else (0, [])
     texts, y = [texts[i] for i in once], np.asarray(labels, float)[once]
+    share = np.ones(len(y)) if weights is None else np.asarray(weights, float)[once]
+    share = share / share.sum()
     if not len(y) or y.min() == y.max():
         return NoisyOr(np.zeros(0, np.uint64), np.zeros(0), 2.0 if len(y) and y.min() > 0 else -8.0)
     word, sentence, bag, done, bags = [], [], [], 0, 0
@@ -130,7 +133,7 @@ def fit(texts: list[str], labels: np.ndarray) -> NoisyOr:
             logits = bias + np.bincount(sentence, weights[feature], minlength=done)
             lit = noisy_or(logits, bag_of, bags)
             # d(loss)/d(-log(1 - P)): 1 for label 0, -(1 - P)/(leak + P) for label 1
-            slope = np.where(y > 0, -(1 - lit) / (LEAK / (1 - LEAK) + lit), 1.0) / bags
+            slope = np.where(y > 0, -(1 - lit) / (LEAK / (1 - LEAK) + lit), 1.0) * share
             by_sentence = slope[bag_of] * _logistic(logits)
             by_word = np.bincount(feature, by_sentence[sentence], minlength=count)
             gradient = np.append(by_word, by_sentence.sum())
@@ -149,22 +152,45 @@ def fit(texts: list[str], labels: np.ndarray) -> NoisyOr:
     return NoisyOr(vocabulary[used], weights, bias)
 
 
-def sample(docs: DataFrame, labels: DataFrame, column: str, allowed: Column, size: int = SAMPLE) -> pd.DataFrame:
-    """Up to ``size`` texts of either label, chosen by hash among labelled ids that ``allowed`` lets through.
+def sample(
+    docs: DataFrame, labels: DataFrame, column: str, allowed: Column, size: int = SAMPLE, chars: int = SAMPLE_CHARS
+) -> pd.DataFrame:
+    """``text``, ``label`` and ``weight`` of up to ``size`` ids and about ``chars`` characters of
+    either label, chosen by hash among labelled ids that ``allowed`` lets through.
 
+    Texts of any length are taken. A text's weight is the number of labelled ids for each
+    one that was drawn, so that both labels weigh what they do among all labelled ids.
     Null labels and ids are no labels; an id with both labels counts as 1; ids without a document fall out.
     """
+    spark = docs.sparkSession
     wanted = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & allowed)
     wanted = wanted.groupBy("doc_id").agg(F.max(column).alias("label"))
+    known = {r.label: r.n for r in wanted.groupBy("label").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id", F.lit(column)), F.col("doc_id")]
-    chosen = None
-    for value in (0, 1):
-        part = wanted.where(F.col("label") == value).orderBy(*order).limit(size)
-        chosen = part if chosen is None else chosen.unionAll(part)
-    short = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    # at most 2 * size ids: a broadcast of proven size
-    rows = short.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * size)
-    return rows.select("text", "label").toPandas()
+    drawn = []
+    for value in known:
+        ids = wanted.where(F.col("label") == value).orderBy(*order).limit(size).select("doc_id").collect()
+        drawn += [(r.doc_id, value, place) for place, r in enumerate(ids)]
+    kind = labels.select("doc_id").schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    # at most 2 * size ids: a broadcast of proven size; first the lengths alone, so that the bound on
+    # characters holds before a text is fetched
+    ids = spark.createDataFrame(drawn, f"doc_id {kind}, label int, place int")
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("place", "label", "doc_id", "key")
+    lengths = found.agg(F.max(F.length("text")).alias("chars")).orderBy("place", "label", "key").limit(2 * size).collect()
+    taken = []
+    for value, total in known.items():
+        own = [r for r in lengths if r.label == value]
+        before = np.cumsum([0, *(r.chars for r in own)])[: len(own)]
+        within = [r for r, sum_before in zip(own, before) if sum_before < chars]
+        whole = len(within) == len(own) and len(lengths) < 2 * size
+        reached = min(total, size) if whole or not within else within[-1].place + 1
+        taken += [(r.doc_id, r.key, r.label, r.place, total / reached) for r in within]
+    fields = f"doc_id {kind}, key bigint, label int, place int, weight double"
+    rows = texts.join(F.broadcast(spark.createDataFrame(taken, fields)), ["doc_id", "key"])
+    rows = rows.groupBy("place", "label", "key", "weight").agg(F.first("text").alias("text")).toPandas()
+    return rows.sort_values(["place", "label", "key"])[["text", "label", "weight"]]
 
 
 def score(docs: DataFrame, model: NoisyOr, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -204,4 +230,4 @@ def score(docs: DataFrame, model: NoisyOr, keep: tuple[str, ...] = ("doc_id",))
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> NoisyOr:
     rows = sample(docs, labels, "toxic", allowed)
-    return fit(rows["text"].tolist(), rows["label"].to_numpy())
+    return fit(rows["text"].tolist(), rows["label"].to_numpy(), rows["weight"].to_numpy())

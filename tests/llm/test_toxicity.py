@@ -74,3 +74,26 @@ def test_odd_rows_and_missing_labels(spark, odd, no_docs):
     assert scores(no_docs, labels).isEmpty()
     assert scores(odd, labels.limit(0)).count() == len(odd_rows())
     assert isinstance(toxicity.fit([], np.zeros(0)), toxicity.NoisyOr) and pd.notna(toxicity.fit(["a"], np.ones(1)).bias)
+
+
+def test_a_capped_sample_weighs_like_all_labels_and_holds_long_texts(spark):
+    """900 clean and 100 toxic documents, a fifth of the clean ones longer than 20,000 characters, drawn 60 to 60."""
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(1000):
+        toxic, long = i % 10 == 0, i % 5 == 1
+        said = [" ".join(f"word{k}" for k in draw.integers(0, 400, 9)) for _ in range(400 if long else 6)]
+        if toxic and i % 130:
+            said[2] += f" {draw.choice(BAD)} {draw.choice(BAD)}"
+        rows.append((i, ". ".join(said) + ".", int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    got = toxicity.sample(docs, docs.select("doc_id", "toxic"), "toxic", F.lit(True), 60)
+    assert got.groupby("label").weight.sum().round(6).to_dict() == {0: 900, 1: 100}
+    assert got.label.value_counts().to_dict() == {0: 60, 1: 60} and (got.text.str.len() > 20_000).sum() > 5
+    model = toxicity.fit(got.text.tolist(), got.label.to_numpy(), got.weight.to_numpy())
+    clean = [t for _, t, toxic in rows if not toxic]
+    assert (all_scores(model, clean) >= 0.5).mean() < 0.02
+    few = toxicity.sample(docs, docs.select("doc_id", "toxic"), "toxic", F.lit(True), 60, 100_000)
+    clean_few = few[few.label == 0]
+    assert 100_000 <= clean_few.text.str.len().sum() < 150_000
+    assert few.groupby("label").weight.sum().round(6).to_dict() == {0: 900, 1: 100}
