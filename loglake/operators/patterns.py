@@ -24,8 +24,9 @@ from loglake.session import written
 MAX_TERMS = 5000
 COMPONENTS = 50
 SEED = 42
-#: Distinct messages that K-Means may start from, and the step below which a run has settled.
-START_SAMPLE = 2000
+#: Rounds in which K-Means draws starting points over all messages, points per round and cluster, and the step below which a run has settled.
+START_ROUNDS = 5
+START_POINTS = 2
 SETTLED = 1e-4
 
 
@@ -256,18 +257,73 @@ def _first_centers(x: np.ndarray, n: np.ndarray, k: int, draw: np.random.Generat
     return np.array(chosen)
 
 
+def _drawn(points: DataFrame, found: dict[int, np.ndarray], count: int, turn: int, seed: int) -> dict[int, np.ndarray]:
+    """For every restart, ``count`` of all points in proportion to n times the squared distance to ``found``.
+
+    Each point gets an exponential waiting time of that rate, from a hash of its message, and the
+    first ones are drawn: one pass, ``count`` rows per task and restart, whatever the partitioning.
+    """
+    width = points.select(F.size("reduced").alias("k")).first().k
+    names = [f"d{i}" for i in range(width)]
+    shared = points.sparkSession.sparkContext.broadcast(found)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, pd.DataFrame] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x, n = np.stack(pdf["reduced"].to_numpy()), pdf["n"].to_numpy(float)
+            own, key = (x * x).sum(axis=1), pdf["key"].to_numpy(np.int64).view(np.uint64)
+            for a, c in shared.value.items():
+                far = np.ones(len(x))
+                if len(c):
+                    far = own + ((c * c).sum(axis=1)[None, :] - 2 * x @ c.T).min(axis=1)
+                    far[far <= 1e-12 * (1 + own)] = 0.0
+                h = key ^ np.uint64((turn * len(shared.value) + a + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+                    h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+                rate = n * far
+                open_ = np.flatnonzero(rate)
+                wait = -np.log(((h[open_] >> np.uint64(11)).astype(float) + 0.5) / 2.0**53) / rate[open_]
+                first = np.argsort(wait, kind="stable")[:count]
+                rows = pd.DataFrame(x[open_[first]], columns=names).assign(
+                    attempt=a, wait=wait[first], message=pdf["message"].to_numpy()[open_[first]]
+                )
+                rows = rows if a not in held else pd.concat((held[a], rows))
+                held[a] = rows.sort_values(["wait", "message"])[:count]
+        yield from held.values()
+
+    schema = ", ".join(f"{c} double" for c in names) + ", attempt int, wait double, message string"
+    keyed = points.select("n", "reduced", "message", F.xxhash64("message", F.lit(seed)).alias("key"))
+    by = Window.partitionBy("attempt").orderBy("wait", "message")
+    rows = keyed.mapInPandas(partial, schema).withColumn("rank", F.row_number().over(by))
+    rows = rows.where(F.col("rank") <= count).drop("message").toPandas().sort_values(["attempt", "rank"])
+    return {a: rows.loc[rows["attempt"] == a, names].to_numpy() for a in found}
+
+
+def _starts(points: DataFrame, clusters: int, restarts: int, seed: int) -> dict[int, np.ndarray]:
+    """Starting centres of every restart by k-means||: candidates drawn over all points in a few rounds,
+    weighted by the messages nearest to them, and thinned by draws among them."""
+    width = points.select(F.size("reduced").alias("k")).first().k
+    found = {a: np.zeros((0, width)) for a in range(restarts)}
+    for turn in range(1 + START_ROUNDS):
+        new = _drawn(points, found, START_POINTS * clusters if turn else 1, turn, seed)
+        found = {a: np.concatenate((c, new[a])) for a, c in found.items()}
+    weights = {a: np.zeros(len(c)) for a, c in found.items()}
+    for r in _cluster_sums(points, found)[["attempt", "cluster", "weight"]].itertuples():
+        weights[r.attempt][r.cluster] = r.weight
+    return {a: _first_centers(c, weights[a], clusters, np.random.default_rng(seed + a)) for a, c in found.items()}
+
+
 def kmeans(
     reduced: DataFrame, clusters: int, restarts: int = 10, iterations: int = 300, seed: int = SEED
 ) -> np.ndarray:
     """Centres of the best of ``restarts`` K-Means runs on weighted distinct messages.
 
     All runs move on together: one pass over the points serves every run that has not
-    settled. Starting points come from a bounded sample chosen by a hash of the message.
+    settled. Starting points are drawn over all points, whatever their number.
     """
-    order = [F.xxhash64("message", F.lit(seed)), F.col("message")]
-    sample = reduced.orderBy(*order).limit(START_SAMPLE).select("n", "reduced").toPandas()
-    x, n = np.stack(sample["reduced"].to_numpy()), sample["n"].to_numpy(float)
-    centers = {a: _first_centers(x, n, clusters, np.random.default_rng(seed + a)) for a in range(restarts)}
+    centers = _starts(reduced, clusters, restarts, seed)
     best, best_cost, active = centers[0], np.inf, dict(centers)
     for turn in range(iterations):
         sums = _cluster_sums(reduced, active)

@@ -26,6 +26,21 @@ def test_kmeans_separates_message_kinds(spark, messages, tmp_path):
     assert both.count() == 15 and both.where("cluster <> before").isEmpty()
 
 
+def test_kmeans_starts_are_drawn_over_all_points(spark):
+    """Three remote points, the last of 5,000 in hash order, get a centre; so does one heavy message, also last."""
+    names = spark.range(5000).select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("message"))
+    names = [r.message for r in names.orderBy(F.xxhash64("message", F.lit(P.SEED)), "message").collect()]
+    draw = np.random.default_rng(1)
+    points = [(m, 1, [float(v) for v in draw.normal(size=2)]) for m in names[:-4]]
+    points += [(m, 1, [200.0, 0.1 * i]) for i, m in enumerate(names[-4:-1])] + [(names[-1], 2500, [0.0, 30.0])]
+    reduced = spark.createDataFrame(points, "message string, n bigint, reduced array<double>")
+    centers = P.kmeans(reduced.repartition(3), 3, restarts=2)
+    assert np.allclose(centers[centers[:, 0].argmax()], [200, 0.1]) and np.allclose(centers[centers[:, 1].argmax()], [0, 30])
+    again = P._starts(reduced.repartition(7), 3, 2, P.SEED)
+    for a, starts in P._starts(reduced.coalesce(1), 3, 2, P.SEED).items():
+        assert np.allclose(starts, again[a])
+
+
 def test_svd_matches_numpy(spark, messages):
     docs = P.weighted_messages(messages)
     vocab = P.placed(P.vocabulary(docs)).cache()
