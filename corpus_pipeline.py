@@ -26,12 +26,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once. Empty
-    documents are no duplicates of each other, and rows without an id cannot be told
-    apart: both stay, but for rows repeated as a whole."""
-    groups = jaccard_join.groups(docs)
-    others = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """The row with the smallest id of each group of near duplicates, once; rows without an id
+    come last, and equal ids are told apart by a hash of the whole row. Empty documents are no
+    duplicates of each other: all stay, but for rows repeated as a whole."""
+    # a null leaves a hash as it was, so it is told by a flag; the hash stands for the row
+    whole = F.xxhash64(*(x for c in COLUMNS for x in (F.col(c), F.col(c).isNull())))
+    docs = docs.select(*COLUMNS, whole.alias("row"))
+    groups = jaccard_join.groups(docs.select(F.col("row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("row"), "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = docs.select("doc_id", "row").distinct().join(groups, "row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return docs.join(first.select("first.row"), "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

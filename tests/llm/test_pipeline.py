@@ -28,6 +28,22 @@ def test_each_stage_on_its_own_input(spark, small_dir):
         assert tuple(stage.columns) == pipeline.COLUMNS
 
 
+def test_one_row_of_each_group_also_without_ids(spark):
+    """Near copies without an id leave one row, or the one with an id; empty rows stay unless repeated as a whole."""
+    one, two = (" ".join(f"{w}{i}" for i in range(100)) for w in ("one", "two"))
+    near = one.replace("one3 ", "far3 ")
+    rows = [
+        (None, one, "en", "a"), (None, near, "en", "a"), (5, two, "en", "a"), (5, two, "en", "b"),
+        (None, two, "en", "c"), (None, None, "en", "a"), (None, None, "de", "a"), (None, None, None, "a"),
+        (None, None, "a", None), (None, "", "en", "a"), (None, None, "en", "a"), (7, "", "en", "a"), (7, "", "en", "b"),
+    ]
+    docs = spark.createDataFrame([(*r, None) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [tuple(r)[:4] for r in pipeline.one_of_each_group(spark, docs, None).collect()]
+    assert sum(r[1] in (one, near) for r in got) == 1
+    assert [r[0] for r in got if r[1] == two] == [5]
+    assert sorted(map(str, (r for r in got if not r[1]))) == sorted({str(r) for r in rows if not r[1]})
+
+
 def test_run_returns_what_the_stages_give_one_after_another(spark, small_dir):
     rows = pipeline.run(spark, small_dir).collect()
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
