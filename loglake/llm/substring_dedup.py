@@ -1,10 +1,11 @@
-"""Duplicate word spans by relative Lempel-Ziv parsing against all earlier text.
+"""Duplicate word spans against all earlier text, by grouping content-defined blocks.
 
 Every text is cut into overlapping blocks whose borders its own words decide, so equal
 passages are cut alike wherever they stand: all windows of ``WINDOW`` words that share
-their least ``GRAM``-word hash (the anchor) form a block. The index holds every block's first place; a document is
-factored greedily by looking its blocks up, and runs of known blocks are factors. At the
-borders of factors a passage and its source continue differently, so their blocks differ
+their least ``GRAM``-word hash (the anchor) form a block. Blocks are grouped by
+hash, and those with an earlier place are duplicates. This stands in the place of a relative
+Lempel-Ziv parse: no longest match is searched and no factor is built, since only which words
+repeat is wanted. At the borders of passages a copy and its source continue differently, so their blocks differ
 although some windows in them agree: first places of blocks that share an anchor are checked window by window.
 The result is exact up to collisions of 64-bit hashes.
 """
