@@ -59,13 +59,14 @@ def _labels_checked(algorithm):
 def summary_checked(spark, sf_dir):
     """Sizes add up, clusters are numbered by size, and every one has words and a message of its own."""
     model, labelled = patterns.fit_patterns(t.messages(spark, sf_dir))
-    own = labelled.groupBy("cluster").agg(F.sum("n").alias("held"), F.collect_set("message").alias("messages"))
-    rows = model.clusters.join(own, "cluster")
+    held = labelled.groupBy("cluster").agg(F.sum("n").alias("held"))
+    own = labelled.select("cluster", F.col("message").alias("representative"), F.lit(True).alias("own"))
+    rows = model.clusters.join(held, "cluster").join(own, ["cluster", "representative"], "left")
     in_order = F.array_sort(F.collect_list(F.struct("cluster", "size")))["size"]
     return rows.agg(
         F.sum("size").alias("records"),
         F.bool_and(F.col("size") == F.col("held")).alias("sizes_match"),
-        F.bool_and(F.array_contains("messages", F.col("representative"))).alias("own_message"),
+        F.bool_and(F.coalesce("own", F.lit(False))).alias("own_message"),
         F.bool_and(F.size("common_words") > 0).alias("has_words"),
         (in_order == F.reverse(F.array_sort(in_order))).alias("by_size"),
     )
