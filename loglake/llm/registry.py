@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = (
     "op1_mixing", "op2_toxicity", "op3_quality_rules", "op4_jaccard_join", "op5_quality_model", "op6_url_lists", "op7_bpe", "op8_pii", "op9_ann",
-    "op10_substring_dedup", "op12_token_files", "op13_importance",
+    "op10_substring_dedup", "op11_phrases", "op12_token_files", "op13_importance",
 )
 
 
