@@ -11,6 +11,7 @@ whole corpus, from two narrow columns.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from zlib import crc32
@@ -31,14 +32,17 @@ SLICE_BYTES = 1 << 21
 #: Words whose ids a task remembers before it starts afresh; bounds memory, not results.
 REMEMBERED = 500_000
 #: Control characters that count as blanks for ``str.split`` but not for the tokenizer.
-NO_BLANKS = "\x1c\x1d\x1e\x1f"
+NO_BLANKS = re.compile("[\x1c-\x1f]")
+#: Marks that end a run of letters; an apostrophe may begin a piece of its own.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
     """The tokenizer of a file, asked once for each word between blanks.
 
     Its tokens never hold white space and blanks are dropped, so the ids of a text are
-    those of its words, one after the other. Texts where a word's surroundings could matter
+    those of its words, one after the other; a run of letters and the marks behind it are
+    two pieces for it. Texts where a word's surroundings could matter
     (control characters, strings that look like a special token) are encoded as they are.
     """
 
@@ -50,28 +54,65 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<i4").tobytes() for x in found]
 
+    def _runs(self, words: list[str]) -> list[bytes]:
+        """Ids of runs of letters, of many at once: each ends with its only word-end token."""
+        data = self._ids([" ".join(words)])[0]
+        ends = 4 * np.flatnonzero(self.last[np.frombuffer(data, "<i4")]) + 4
+        if len(ends) != len(words):
+            return self._ids(words)
+        cut = [0, *ends.tolist()]
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
+
+    def _learn(self, words: set[str]) -> None:
+        known, alone, marked, runs = self.known, [], [], set()
+        for word in words:
+            run = word.rstrip(MARKS)
+            if run.isalpha():
+                runs.add(run)
+                if len(run) < len(word):
+                    marked.append((word, run, word[len(run) :]))
+            else:
+                alone.append(word)
+        alone += {marks for _, _, marks in marked}.difference(known)
+        new = list(runs.difference(known))
+        for low in range(0, len(new), 100):
+            known.update(zip(new[low : low + 100], self._runs(new[low : low + 100])))
+        # some at a time: the library keeps more about each word than its ids
+        for low in range(0, len(alone), 10_000):
+            known.update(zip(alone[low : low + 10_000], self._ids(alone[low : low + 10_000])))
+        for word, run, marks in marked:
+            known[word] = known[run] + known[marks]
+
     def encode(self, texts: Sequence[str | None], end: bytes = b"") -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers, then ``end``; null is empty."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        whole = [t for t in texts if t and (any(c in t for c in NO_BLANKS) or any(s in t for s in self.special))]
+        whole = [t for t in texts if t and (NO_BLANKS.search(t) or any(s in t for s in self.special))]
         whole_ids = dict(zip(whole, self._ids(whole)))
-        words = [() if not t or t in whole_ids else t.split() for t in texts]
-        new = list(set().union(*words).difference(self.known))
-        # words are encoded some at a time: the library keeps more about each than its ids
-        for low in range(0, len(new), 10_000):
-            some = new[low : low + 10_000]
-            self.known.update(zip(some, self._ids(some)))
+        words = [() if not t or t in whole_ids else _folded(t).split() for t in texts]
+        self._learn(set().union(*words).difference(self.known))
         get = self.known.__getitem__
         return [whole_ids[t] + end if t in whole_ids else b"".join(map(get, own)) + end for t, own in zip(texts, words)]
 
 
+def _folded(text: str) -> str:
+    """The text in the tokenizer's lower case where Python's is sure to be the same."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

@@ -41,7 +41,8 @@ def test_odd_rows(spark, odd, tmp_path):
 
 
 def test_texts_whose_blanks_are_no_blanks(spark, tmp_path):
-    texts = ["a\x1cb c", "x <|endoftext|> y", "<|startoftext|>don't STOP", "ΣΣ  é  it's\x85ok", "café Å", "�‍\U0001f469‍\U0001f4bb 12a3"]
+    texts = ["ab,. cd'', ef's, gh_i! 'tis ÀÉ), ÿ_ ß. x² y½. ªº, ab,. don't, l'eau? Ünï+cöde##",
+             "a\x1cb c", "x <|endoftext|> y", "<|startoftext|>don't STOP", "ΣΣ  é  it's\x85ok", "café Å", "�‍\U0001f469‍\U0001f4bb 12a3"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     tf.write(docs, str(tmp_path / "t"), tokenizer_path())
     assert stored(spark, str(tmp_path / "t")) == plain(list(enumerate(texts)))
