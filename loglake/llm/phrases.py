@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,11 @@ MOST = 2000
 NO_LANG = "und"
 #: Words whose numbers are sent to the tasks at a time.
 DICTIONARY = 1 << 20
+#: Words that a task counts before it hands them on.
+COUNTED = 1 << 17
 #: Entries that a task gathers before it sorts, and keeps before it hands its filter on.
-GATHERED = 1 << 21
-KEPT = 1 << 22
+GATHERED = 1 << 18
+KEPT = 1 << 20
 #: Entries that meet in one range of quotients, about.
 RANGE = 1 << 21
 #: Bits that mark frequent n-grams.
@@ -241,7 +244,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                         found[key] = [names[piece.low + t], raw[a:b].decode(errors="replace"), c]
                     else:
                         row[2] += c
-                if len(found) > KEPT // 16:
+                if len(found) > COUNTED:
                     yield rows()
         yield rows()
         schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
@@ -380,19 +383,19 @@ def count_ngrams(numbered: DataFrame, layout: Layout, ranges: int, least: int, s
             nonlocal waiting
             if gathered:
                 upper, lower = (np.concatenate(x) for x in zip(*gathered))
-                kept.append(Filter.of(layout, *layout.permute(upper, lower)))
                 gathered.clear()
                 waiting = 0
-            if len(kept) > 1:
-                kept[:] = [Filter.merged(kept)]
+                kept.append(Filter.of(layout, *layout.permute(upper, lower)))
+            # filters of like size are merged, so each entry is moved a few times only
+            while len(kept) > 1 and (2 * len(kept[-1]) >= len(kept[-2]) or sum(map(len, kept)) > KEPT):
+                kept.append(Filter.merged([kept.pop(), kept.pop()]))
 
         def rows() -> Iterator[pa.RecordBatch]:
-            if kept and len(kept[0]):
-                parts = [(number, *part.pack(ranges)) for number, part in kept[0].ranges(ranges)]
-                columns = list(zip(*parts))
-                kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-                for low in range(0, len(parts), 64):
-                    arrays = [pa.array(c[low : low + 64], t) for c, t in zip(columns, kinds)]
+            kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+            for whole in kept:
+                parts = whole.ranges(ranges)
+                while some := [(number, *part.pack(ranges)) for number, part in islice(parts, 16)]:
+                    arrays = [pa.array(c, t) for c, t in zip(zip(*some), kinds)]
                     yield pa.RecordBatch.from_arrays(arrays, ["number", "quotient", "slots", "upper", "lower", "counts"])
             kept.clear()
 
@@ -403,7 +406,7 @@ def count_ngrams(numbered: DataFrame, layout: Layout, ranges: int, least: int, s
                 waiting += len(grams[0])
                 if waiting > GATHERED:
                     sort()
-                    if len(kept[0]) > KEPT:
+                    if sum(map(len, kept)) > KEPT:
                         yield from rows()
         sort()
         yield from rows()

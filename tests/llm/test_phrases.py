@@ -81,7 +81,7 @@ def test_other_parameters(texts, options):
 def test_bounds_of_memory_change_nothing(spark, texts, monkeypatch):
     """Several dictionary parts, filters handed on early, many ranges, a full bitmap."""
     rows, docs = texts
-    for name, value in {"DICTIONARY": 7, "GATHERED": 50, "KEPT": 90, "RANGE": 16, "BITS": 1 << 15}.items():
+    for name, value in {"DICTIONARY": 7, "COUNTED": 20, "GATHERED": 50, "KEPT": 90, "RANGE": 16, "BITS": 1 << 15}.items():
         monkeypatch.setattr(ph, name, value)
     assert rows_of(ph.phrases(docs, least=3)) == brute(rows, least=3) != []
 
