@@ -6,34 +6,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from loglake import fixed_values as fv
-from loglake.operators.parse import route_lines
+from loglake.operators.lookup import lookup_join
+from loglake.operators.parse import file_formats, nonblank_lines, route_lines, with_format
+from loglake.operators.position import files_of, line_of, packed, rank_of, with_position
 from loglake.schema import POSITION
 
 
 def dedup_keep_first(df: DataFrame, key: str = "_raw", order: Sequence[str] = POSITION) -> DataFrame:
     """One row per ``key``: the one that comes first in ``order``.
 
-    An aggregate rather than a window: copies of one line are reduced to a single row
-    inside each map task, so a line that makes up a third of the input is never
-    gathered in one place. The struct compares by ``order`` first and carries every
-    other column once.
+    For positions, and for a single integer column that is unique per row, a hash aggregate keeps the first
+    position of every key, reduced inside each map task, so a line that makes up a third
+    of the input is never gathered in one place; the rows at these positions are then fetched by a semi-join.
+    Any other order may have ties: there an aggregate carries the whole row.
     """
+    if tuple(order) == POSITION:
+        placed = with_position(df)
+    elif len(order) == 1 and isinstance(df.schema[order[0]].dataType, IntegralType):
+        placed = df.withColumn("_position", F.col(order[0]).cast("bigint"))
+    else:
+        return _first_rows(df, key, order)
+    firsts = placed.groupBy(F.col(key).alias("_key")).agg(F.min("_position").alias("_first"))
+    same = (F.col("_position") == F.col("_first")) & F.col(key).eqNullSafe(F.col("_key"))
+    return placed.join(firsts, same, "left_semi").select(*df.columns)
+
+
+def _first_rows(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c != key and c not in order]
     first = F.min(F.struct(*order, *rest)).alias("_first")
     found = df.groupBy(key).agg(first)
     return found.select(*(key if c == key else F.col(f"_first.{c}") for c in df.columns))
 
 
-def first_copies(formatted: DataFrame) -> DataFrame:
-    """First copy of every line that its file's format accepts, before it is parsed.
+def first_copies(lines: DataFrame, mode: str = "file") -> DataFrame:
+    """First copy of every line that its format accepts, with ``_format``, before it is parsed.
 
-    Equal to removing duplicates from the parsed records, but only the line and its
-    position are shuffled, not the record that is made of it.
+    Equal to removing duplicates from the parsed records, but only the line and its packed
+    position are shuffled: file, line number and format all follow from those two.
     """
+    if mode == "line":
+        files = files_of(lines)
+        formatted = lookup_join(with_format(lines, mode), files, "_file")
+    else:
+        files = file_formats(lines)
+        formatted = lookup_join(nonblank_lines(lines), files, "_file")
+    by = ["value"] if mode == "file" else ["value", "_format"]
     accepted = route_lines(formatted).where(F.col("_outcome") != "dropped")
-    return dedup_keep_first(accepted.select(*formatted.columns), "value")
+    line = F.when(F.col("_block") == 0, F.col("_line_no")).otherwise(-1)
+    firsts = accepted.groupBy(*by).agg(F.min(packed(F.col("_rank"), line)).alias("_position"))
+    placed = firsts.withColumn("_rank", rank_of(F.col("_position")))
+    return lookup_join(placed, files, "_rank").select(
+        "_file", F.lit(0).cast("bigint").alias("_block"), line_of(F.col("_position")).alias("_line_no"), "value", "_format"
+    )
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:

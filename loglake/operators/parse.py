@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from loglake import fixed_values as fv
 from loglake.functions.columns import coerce_timestamp, parse_severity, strip
 from loglake.operators.lookup import lookup_join
+from loglake.operators.position import ranked
 from loglake.schema import RECORD_SCHEMA
+from loglake.session import written
 
 # (?s): a message may hold any character, line separators of other alphabets included.
 APACHE = "(?s)" + fv.APACHE_PATTERN
@@ -57,13 +59,16 @@ def detect_format(lines: DataFrame) -> DataFrame:
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
-    """One row per file: the format of its first non-blank line."""
-    first = (
-        nonblank_lines(lines)
-        .groupBy("_file")
-        .agg(F.min_by("value", F.struct("_block", "_line_no")).alias("value"))
-    )
-    return first.select("_file", line_format(F.col("value")).alias("_format"))
+    """One row per file that has text: ``_rank`` in name order and the format of its first non-blank line.
+
+    A hash aggregate finds the number of that line; the line itself is then fetched, from
+    rows no further down than the last of these numbers.
+    """
+    some = nonblank_lines(lines)
+    firsts = written(ranked(some.groupBy("_file").agg(F.min("_line_no").alias("_line_no"))), "first-lines")
+    last = firsts.agg(F.max("_line_no")).first()[0]
+    heads = nonblank_lines(lines.where(F.col("_line_no") <= (-1 if last is None else last)))
+    return heads.join(firsts, ["_file", "_line_no"]).select("_file", "_rank", line_format(F.col("value")).alias("_format"))
 
 
 def _instant_to_utc(instant: Column) -> Column:
@@ -103,7 +108,7 @@ def with_format(lines: DataFrame, mode: str = "file") -> DataFrame:
         return detect_format(lines)
     if mode != "file":
         raise ValueError(f"unknown mode {mode!r}: use 'file' or 'line'")
-    return lookup_join(nonblank_lines(lines), file_formats(lines), "_file")
+    return lookup_join(nonblank_lines(lines), file_formats(lines).drop("_rank"), "_file")
 
 
 # Separates the captured groups; a line that itself contains it takes the slower way.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglake import fixed_values as fv
@@ -11,8 +11,9 @@ from loglake.operators.clean import clean_logs, first_copies
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.features import record_features
 from loglake.operators.parse import parse_lines, records_of, with_format
-from loglake.session import job, written
-from loglake.sources import lake, test_tables
+from loglake.operators.position import with_position
+from loglake.session import job
+from loglake.sources import lake, line_store, test_tables
 
 
 def process(
@@ -28,29 +29,19 @@ def process(
 ) -> DataFrame:
     """Parse, clean and enrich raw lines. Duplicates go before the lines are parsed.
 
-    ``known_lines`` is a table of the lines of runs before ``run``, as two hashes each:
+    ``known_lines`` is a store of the lines of runs before ``run`` (``line_store``):
     lines that stand there are duplicates too, and the new ones are added to it.
     """
-    formatted = with_format(lines, mode)
-    if dedup:
-        formatted = first_copies(formatted)
-        if known_lines:
-            formatted = _new_lines(formatted, known_lines, run)
+    if not dedup:
+        formatted = with_format(lines, mode)
+    elif known_lines:
+        formatted = line_store.take_new(first_copies(lines, mode), known_lines, run)
+    else:
+        formatted = first_copies(lines, mode)
     records = records_of(parse_lines(formatted, ingest_ts, default_year))
     return enrich_logs(clean_logs(records, False, null_handling, message_length))
 
 
-def _new_lines(formatted: DataFrame, known_lines: str, run: int) -> DataFrame:
-    spark = formatted.sparkSession
-    keys = {"_k1": F.xxhash64("value"), "_k2": F.xxhash64(F.lit("again"), "value")}
-    schema = "_k1 bigint, _k2 bigint, run int"
-    spark.createDataFrame([], "_k1 bigint, _k2 bigint").write.mode("overwrite").parquet(f"{known_lines}/run=-1")
-    before = spark.read.schema(schema).parquet(known_lines).where(F.col("run") < run)
-    fresh = written(formatted.withColumns(keys).join(before, ["_k1", "_k2"], "left_anti"), "new-lines")
-    fresh.select("_k1", "_k2").write.mode("overwrite").parquet(f"{known_lines}/run={run}")
-    return fresh.select(*formatted.columns)
-
-
 def process_to_lake(lines: DataFrame, root: str, ingest_ts: str, default_year: int, run_date: str) -> DataFrame:
     """Process lines into the lake once and return the stored batch, which every later
     step scans. The table is partitioned by run and by day."""
@@ -60,20 +51,9 @@ def process_to_lake(lines: DataFrame, root: str, ingest_ts: str, default_year: i
     return lake.read_latest(lines.sparkSession, root, "processed", "logs")
 
 
-#: Lines a file may have for its records to get distinct ids.
-LINES_PER_FILE = 1 << 40
-
-
 def with_row_id(df: DataFrame) -> DataFrame:
-    """A row id that orders records by file name and line, and is unique and the same in every run.
-
-    The files' ranks come from the small table of their names; more than 2**23 files
-    overflow, which is an error and never a wrong id.
-    """
-    files = written(df.select("_file").distinct(), "files")
-    ranked = files.select("_file", F.row_number().over(Window.orderBy("_file")).cast("bigint").alias("_rank"))
-    row_id = (F.col("_rank") - 1) * LINES_PER_FILE + F.col("_line_no")
-    return df.join(ranked, "_file").withColumn("row_id", row_id).drop("_rank").select(*df.columns, "row_id")
+    """A row id that orders records by file name and line, and is unique and the same in every run."""
+    return with_position(df, "row_id")
 
 
 def batch_stats(df: DataFrame) -> DataFrame:

@@ -40,18 +40,22 @@ def store_batch(
     return path
 
 
-def _runs(spark: SparkSession, path: str, by: str) -> list[str]:
-    """Values of the first partition column, from one listing of a table's folder."""
+def partition_values(spark: SparkSession, path: str, by: str) -> list[str]:
+    """Values of the first partition column, from one listing of a table's folder; none if it
+    does not exist. Whole numbers are in numeric order, anything else in that of text."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = files.listStatus(folder) if files.exists(folder) else []
     names = [entry.getPath().getName() for entry in listed if entry.isDirectory()]
-    return sorted(n.removeprefix(f"{by}=") for n in names if n.startswith(f"{by}="))
+    values = [n.removeprefix(f"{by}=") for n in names if n.startswith(f"{by}=")]
+    numbers = all(v.removeprefix("-").isdecimal() for v in values)
+    return sorted(values, key=int) if numbers else sorted(values)
 
 
 def read_latest(spark: SparkSession, root: str, zone: str, name: str, by: str = "run_date") -> DataFrame:
     """The newest batch of a table partitioned by ``by``; files of older ones are not opened."""
     path = zone_path(root, zone, name)
-    runs = _runs(spark, path, by)
+    runs = partition_values(spark, path, by)
     if not runs:
         raise FileNotFoundError(f"no batch below {path}")
     return spark.read.option("basePath", path).parquet(f"{path}/{by}={runs[-1]}")

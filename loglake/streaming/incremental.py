@@ -7,10 +7,10 @@ track of the files already seen, processes the new ones and stops.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loglake.plans.batch import process
-from loglake.session import job, spread
+from loglake.session import job
+from loglake.sources.raw_text import numbered, with_splits
 
 
 def process_new_files(
@@ -26,20 +26,15 @@ def process_new_files(
 
     Every micro-batch writes its own ``batch`` partition and replaces it when it is
     repeated after a failure, so no file counts twice. ``progress`` is the stream's
-    checkpoint folder, which also keeps two hashes of every line taken in: duplicates of
+    checkpoint folder, which also keeps the store of all lines taken in: duplicates of
     lines of earlier runs are removed as well as those within a run, so the table grows
-    to what one batch over all files gives.
+    to what one batch over all files gives. Line numbers count within the file.
     """
-    lines = spark.readStream.text(raw_folder).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        "value",
-    )
+    lines = with_splits(spark.readStream.text(raw_folder))
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        numbered = spread(batch.withColumn("_line_no", F.monotonically_increasing_id()))
         with job(spark):
-            records = process(numbered, ingest_ts, default_year, known_lines=f"{progress}/lines", run=number, **cleaning)
+            records = process(numbered(batch), ingest_ts, default_year, known_lines=f"{progress}/lines", run=number, **cleaning)
             records.drop("_raw").write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     query = (
