@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake import fixed_values as fv
 from loglake.functions.columns import finite, severity_num
+from loglake.operators.categories import CategoryDictionary, with_vector
 from loglake.operators.percentiles import exact_percentiles
 
 _NOT_SPACE = f"[^{fv.WHITESPACE_CLASS}]+"
@@ -101,17 +102,20 @@ def numeric_features(df: DataFrame) -> dict[str, Column]:
     return {name: F.coalesce(column, F.lit(0)) for name, column in features.items()}
 
 
-def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a column that is about to become one column each, so it
-    is for columns with few values; ``one_hot_vector`` takes any number of them."""
-    return [row[0] for row in df.select(column).na.drop().distinct().orderBy(column).collect()]
+#: Columns that one-hot encoding makes of one column at most.
+MOST_COLUMNS = 1000
 
 
-def one_hot_vector(column: str) -> dict[str, Column]:
-    """The one-hot encoding of a column with any number of values as a sparse vector: the
-    place of its only 1, a 63-bit hash of the value; null has no place."""
-    place = F.when(F.col(column).isNotNull(), F.xxhash64(column).bitwiseAND(F.lit((1 << 63) - 1)))
-    return {f"{column}_place": place}
+def categories(df: DataFrame, column: str, most: int = MOST_COLUMNS) -> list[str]:
+    """Sorted distinct values of a column that is about to become one column each.
+
+    More than ``most`` of them are an error, and no more than that are fetched: such columns are
+    encoded by a dictionary (``categories.fit_categories``) as sparse vectors.
+    """
+    rows = df.select(column).na.drop().distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values: encode it by a dictionary")
+    return sorted(row[0] for row in rows)
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> dict[str, Column]:
@@ -120,16 +124,26 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) ->
     return {f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)) for v in values}
 
 
-def record_features(df: DataFrame, keep: Sequence[str] = (), encode: Sequence[str] = ()) -> DataFrame:
+def record_features(
+    df: DataFrame,
+    keep: Sequence[str] = (),
+    encode: Sequence[str] = (),
+    dictionaries: Mapping[str, CategoryDictionary] | None = None,
+) -> DataFrame:
     """The whole per-record feature job: one projection, no shuffle.
 
-    ``keep`` passes columns through (a row id); ``encode`` adds one-hot columns.
+    ``keep`` passes columns through (a row id); ``encode`` adds one-hot columns. Columns of
+    any number of values are encoded by their fitted ``dictionaries``, each as one sparse
+    vector ``<column>_vector``.
     """
     features = numeric_features(df)
     for column in encode:
         if column in df.columns:
             features.update(one_hot(df, column))
-    return df.select(*keep, *(c.alias(name) for name, c in features.items()))
+    wide = {c: d for c, d in (dictionaries or {}).items() if c in df.columns}
+    for column, dictionary in wide.items():
+        df = with_vector(df, column, dictionary)
+    return df.select(*keep, *(c.alias(name) for name, c in features.items()), *(f"{c}_vector" for c in wide))
 
 
 def align_features(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -9,8 +9,10 @@ from loglake.functions import columns as c
 from loglake.operators import aggregate as agg
 from loglake.operators import features as feat
 from loglake.operators.anomaly import sanitize, scaling, standardize
+from loglake.operators.categories import CategoryDictionary, fit_categories
 from loglake.operators.enrich import enrich_logs
 from loglake.registry import sql_views as v
+from loglake.session import scratch_path
 from loglake.sources import test_tables as t
 
 
@@ -119,6 +121,17 @@ def windows(spark, sf_dir):
     return _rounded(feat.window_features(_enriched(spark, sf_dir)), *WINDOW_ROUNDED, digits=6)
 
 
+def onehot_dictionary(spark, sf_dir):
+    """Messages, with a dictionary fitted on every second record, saved and read back: the rest has strange ones."""
+    rows = _enriched(spark, sf_dir)
+    path = scratch_path(spark, "dictionary")
+    fit_categories(rows.where(F.col("row_id") % 2 == 0), "message").save(path)
+    dictionary = CategoryDictionary.load(spark, path)
+    vectors = feat.record_features(rows, keep=["row_id"], dictionaries={"message": dictionary})
+    vector = F.col("message_vector")
+    return vectors.select("row_id", vector["size"].alias("width"), F.get(vector["indices"], F.lit(0)).alias("place"))
+
+
 QUERIES = {
     "level_distribution": _on_logs(agg.value_counts, "level"),
     "hourly_distribution": _on_logs(agg.counts_in_order, "hour"),
@@ -143,6 +156,7 @@ QUERIES = {
     "feat_status": gap_features("status_code", "is_error_status", "is_server_error"),
     "feat_size": gap_features("response_size", "response_size_log"),
     "feat_duration": gap_features("duration_ms", "duration_log", "is_slow"),
+    "onehot_dictionary": onehot_dictionary,
     "onehot_service": one_hot("service"),
     "onehot_method": one_hot("method"),
     "record_features": _feature_query(),
@@ -258,6 +272,13 @@ ORACLES = {
              cast(coalesce(duration_ms > 1000, false) as int) as is_slow from gaps""",
         "gaps",
     ),
+    "onehot_dictionary": v.with_views(
+        """select row_id, (select count(*) + 1 from (select distinct message from logs where row_id % 2 = 0)) as width,
+             coalesce(place, (select count(*) from (select distinct message from logs where row_id % 2 = 0))) as place
+           from logs left join (select message as value, row_number() over (order by message) - 1 as place
+             from (select distinct message from logs where row_id % 2 = 0)) on message = value""",
+        "logs",
+    ),
     "onehot_service": one_hot_sql("service", [f"svc-{i}" for i in range(8)]),
     "onehot_method": one_hot_sql("method", ["DELETE", "GET", "POST", "PUT"]),
     "record_features": _feature_sql(*fv.NUMERIC_FEATURES),

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from loglake.functions.columns import anomaly_severity, human_size
 from loglake.operators import aggregate
+from loglake.operators.percentiles import exact_percentiles
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.text import severity_counts
-from loglake.plans import batch, report
+from loglake.plans import batch, report, states
 from loglake.registry import models
 from loglake.registry import sql_views as v
 from loglake.registry.aggregates import _SECTIONS_SQL, _human
@@ -167,6 +168,48 @@ def incremental(spark, sf_dir):
     )
 
 
+_FIRST_DAY, _LAST_DAY = "2024-01-05", "2024-01-20"
+
+
+def _with_states(spark, sf_dir):
+    """States of three batches; the first run of the second one held other records."""
+    root = scratch_path(spark, "states")
+    rows = _enriched(spark, sf_dir)
+    for name, part in (("b1", 0), ("b2", 0), ("b3", 2), ("b2", 1)):
+        states.store_batch(rows.where(F.col("row_id") % 3 == part), root, name)
+    return root
+
+
+def merged_counts(spark, sf_dir):
+    return states.section_counts(spark, _with_states(spark, sf_dir))
+
+
+def merged_states(spark, sf_dir):
+    """Sixteen days of three batches, merged from their sketches: exact figures, and whether the
+    merged ones are inside their error bounds (1 % of the ranks, 4 % of the distinct values)."""
+    found = states.day_range(spark, _with_states(spark, sf_dir), _FIRST_DAY, _LAST_DAY).first()
+    rows = _enriched(spark, sf_dir).where(F.col("date").between(F.lit(_FIRST_DAY), F.lit(_LAST_DAY)))
+    result = None
+    for measure in states.MEASURES:
+        value, inside = F.col(measure), []
+        for p in (50, 95, 99):
+            estimate = F.lit(found[f"{measure}_p{p}"])
+            below, upto = F.count_if(value < estimate) / F.count(value), F.count_if(value <= estimate) / F.count(value)
+            inside.append(((below <= p / 100 + 0.01) & (upto >= p / 100 - 0.01)).alias(f"p{p}_inside"))
+        distinct = [
+            (F.abs(F.countDistinct(c) - found[f"{c}_distinct"]) <= 0.04 * F.countDistinct(c)).alias(f"{c}_inside")
+            for c in states.IDENTITIES
+        ]
+        row = rows.agg(
+            F.lit(measure).alias("measure"), F.count("*").alias("records"), (F.count("*") == found.records).alias("records_equal"),
+            *inside, *distinct,
+        )
+        exact = exact_percentiles(rows, [], measure, {"p95": 0.95}).select(F.round("p95", 6).alias("p95"))
+        row = row.withColumn("p95", exact.scalar())
+        result = row if result is None else result.unionByName(row)
+    return result
+
+
 def incremental_runs(spark, sf_dir):
     """The same files taken in by three runs; the first brings copies of lines that come later."""
     root = scratch_path(spark, "incremental")
@@ -181,6 +224,8 @@ def incremental_runs(spark, sf_dir):
 QUERIES = {
     "incremental_run": incremental,
     "incremental_runs": incremental_runs,
+    "merged_counts": merged_counts,
+    "merged_states": merged_states,
     "scan_latest_batch": latest_batch,
     "processed_projection": processed,
     "stored_runs": stored_runs,
@@ -227,6 +272,16 @@ ORACLES = {
     "incremental_runs": v.with_views(
         f"select timestamp, {_NORMAL_LEVEL}, message, service, status_code from cleaned", "cleaned"
     ),
+    "merged_counts": v.with_views(_SECTIONS_SQL, "enriched"),
+    "merged_states": v.with_views(
+        " union all ".join(
+            f"""select '{m}' as measure, count(*) as records, true as records_equal, true as p50_inside, true as p95_inside,
+                  true as p99_inside, true as message_inside, true as ip_inside, round(quantile_cont({m}, 0.95), 6) as p95
+                from enriched where date between '{_FIRST_DAY}' and '{_LAST_DAY}'"""
+            for m in states.MEASURES
+        ),
+        "enriched",
+    ),
     "scan_latest_batch": v.with_views(
         """select row_id, timestamp, level, date as run_date from enriched where date = (select max(date) from enriched)""",
         "enriched",

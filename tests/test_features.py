@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from loglake.operators.aggregate import duration_stats, error_rate, histogram, time_bucket_distribution
 from loglake.operators.enrich import enrich_logs
-from loglake.operators.features import categories, one_hot_vector, extract_features, record_features, window_features
+from loglake.operators.categories import CategoryDictionary, fit_categories, with_place, with_vector
+from loglake.operators.features import categories, extract_features, record_features, window_features
 from loglake.operators.percentiles import exact_percentiles
 
 
@@ -52,11 +53,44 @@ def test_modes(frame):
         window_features(frame.drop("timestamp"))
 
 
-def test_any_number_of_categories_is_encoded(frame):
-    values = categories(frame, "message")
-    places = frame.select("message", *(c.alias(n) for n, c in one_hot_vector("message").items()))
-    assert places.where("message is not null").select("message_place").distinct().count() == len(values) == 100
-    assert places.where("message_place < 0 or (message is null) <> (message_place is null)").isEmpty()
+def test_no_more_columns_than_allowed(spark):
+    frame = spark.range(1001).selectExpr("cast(id as string) as message")
+    assert len(categories(frame.limit(1000), "message")) == 1000
+    with pytest.raises(ValueError, match="dictionary"):
+        categories(frame, "message")
+
+
+def test_dictionary_of_many_values(spark, tmp_path, monkeypatch):
+    """10,000 values: nothing is fetched, places follow the values' order, and a model read back
+    encodes other rows alike: strange values share the last place, null has none."""
+    frame = spark.range(30_000).selectExpr("concat('é', id % 10000) as v", "id").repartition(11)
+    sent = []
+    for name in ("collect", "toPandas"):
+        keep = getattr(type(frame), name)
+        monkeypatch.setattr(type(frame), name, lambda self, keep=keep: sent.append(self.columns) or keep(self))
+    dictionary = fit_categories(frame, "v")
+    assert not sent and dictionary.size == 10_000 and dictionary.width == 10_001
+    dictionary.save(str(tmp_path / "d"))
+    loaded = CategoryDictionary.load(spark, str(tmp_path / "d"))
+    rows = spark.createDataFrame([("é7", 1), ("strange", 2), (None, 3), ("é9999", 4), ("é7", 5), ("", 6)], "v string, id int")
+    order = {v: i for i, v in enumerate(sorted(f"é{i}" for i in range(10_000)))}
+    want = {1: [order["é7"]], 2: [10_000], 3: [], 4: [order["é9999"]], 5: [order["é7"]], 6: [10_000]}
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = with_vector(rows, "v", loaded).collect()
+        assert {r.id: r.v_vector.indices for r in got} == want and {r.v_vector.size for r in got} == {10_001}
+        assert all(len(r.v_vector.values) == len(r.v_vector.indices) for r in got)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    places = dictionary.table.agg(F.min("place"), F.max("place"), F.countDistinct("place")).first()
+    assert tuple(places) == (0, 9999, 10_000)
+
+
+def test_dictionary_without_values(spark):
+    none = spark.createDataFrame([(None,)], "v string")
+    dictionary = fit_categories(none, "v")
+    assert dictionary.size == 0
+    assert [r.v_place for r in with_place(spark.createDataFrame([("a",), (None,)], "v string"), "v", dictionary).collect()] == [0, None]
+
 
 
 @pytest.mark.parametrize(
