@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -175,18 +175,9 @@ def feature_summary(features: DataFrame, names: Sequence[str] = fv.NUMERIC_FEATU
     return features.agg(*stats).select(F.inline(F.array(*names)))
 
 
-def window_features(df: DataFrame, minutes: int = 60, approximate_distinct: bool = False) -> DataFrame:
-    """One row of statistics per non-empty time window, nulls as 0.
-
-    Distinct counts and the 95th percentile are exact. ``approximate_distinct`` replaces
-    the former by sketches, which saves the expansion of every row per counted column.
-    """
-    if "timestamp" not in df.columns:
-        raise ValueError("window features need a timestamp column")
-    start = F.window("timestamp", f"{minutes} minutes").start.alias("window_start")
-    rows = df.where(F.col("timestamp").isNotNull()).withColumn("window_start", start)
-    has = set(df.columns).__contains__
-    distinct = F.approx_count_distinct if approximate_distinct else F.countDistinct
+def window_stats(columns: Sequence[str], distinct: Callable[[str], Column] = F.countDistinct) -> dict[str, Column]:
+    """The statistics of a time window that the given columns allow, all but the percentile."""
+    has = set(columns).__contains__
     total = F.count("*")
     stats: dict[str, Column] = {"log_count": total}
     if has("level"):
@@ -217,9 +208,22 @@ def window_features(df: DataFrame, minutes: int = 60, approximate_distinct: bool
         stats |= {"avg_duration": F.avg("duration_ms"), "max_duration": F.max("duration_ms")}
     if has("severity_num"):
         stats |= {"avg_severity": F.avg("severity_num"), "max_severity": F.max("severity_num")}
+    return stats
+
 
+def window_features(df: DataFrame, minutes: int = 60, approximate_distinct: bool = False) -> DataFrame:
+    """One row of statistics per non-empty time window, nulls as 0.
+
+    Distinct counts and the 95th percentile are exact. ``approximate_distinct`` replaces
+    the former by sketches, which saves the expansion of every row per counted column.
+    """
+    if "timestamp" not in df.columns:
+        raise ValueError("window features need a timestamp column")
+    start = F.window("timestamp", f"{minutes} minutes").start.alias("window_start")
+    rows = df.where(F.col("timestamp").isNotNull()).withColumn("window_start", start)
+    stats = window_stats(df.columns, F.approx_count_distinct if approximate_distinct else F.countDistinct)
     windows = rows.groupBy("window_start").agg(*(c.alias(n) for n, c in stats.items()))
-    if has("duration_ms"):
+    if "duration_ms" in df.columns:
         p95 = exact_percentiles(rows, ["window_start"], "duration_ms", {"p95_duration": 0.95})
         windows = windows.join(p95, "window_start", "left")
     names = [c for c in windows.columns if c != "window_start"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("parsing", "cleaning", "aggregates", "text_mining", "models", "storage", "invariants")
+MODULES = ("parsing", "cleaning", "aggregates", "text_mining", "models", "storage", "streams", "invariants")
 
 
 def queries() -> dict:
