@@ -29,7 +29,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _HINT = re.compile(r"[0-9@]+")
-_SPACE = frozenset(" \t\n\x0b\x0c\r")
+_PIECE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789@._%+()-")
 
 #: Bounds of the training sample: texts, and characters of one.
 SAMPLE = 2000
@@ -95,15 +95,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def tokens(text: str) -> list[tuple[int, int]]:
-    """Words that hold a digit or an at sign."""
+    """Runs of the characters that numbers and addresses are made of, if they hold a digit or an
+    at sign. Blanks, quotes, colons, commas, brackets of other kinds and letters of other alphabets end a
+    run, so values in unspaced text (JSON, CSV, prose without blanks) are tokens of their own."""
     found, floor, size = [], 0, len(text)
     for m in _HINT.finditer(text):
         if m.start() < floor:
             continue
         start, end = m.start(), m.end()
-        while start > floor and text[start - 1] not in _SPACE:
+        while start > floor and text[start - 1] in _PIECE:
             start -= 1
-        while end < size and text[end] not in _SPACE:
+        while end < size and text[end] in _PIECE:
             end += 1
         found.append((start, end))
         floor = end
@@ -111,12 +113,12 @@ def tokens(text: str) -> list[tuple[int, int]]:
 
 
 def _shape(token: str) -> str:
-    token = re.sub(r"[0-9]", "9", token[:40])
+    token = re.sub(r"[0-9]", "9", token)
     return re.sub(r"[^\W\d_]+", "a", token)
 
 
 def _features(token: str) -> list[str]:
-    digits = _NOT_DIGIT.sub("", token[:80])
+    digits = _NOT_DIGIT.sub("", token)
     shape = _shape(token)
     found = [
         "1",
@@ -137,8 +139,8 @@ def _features(token: str) -> list[str]:
 
 def _keys(token: str) -> list[str]:
     """What tokens that speak of the same thing share: letters and digits, or the last seven digits."""
-    plain = "".join(c for c in token[:200].lower() if c.isalnum())
-    digits = _NOT_DIGIT.sub("", token[:200])
+    plain = "".join(c for c in token.lower() if c.isalnum())
+    digits = _NOT_DIGIT.sub("", token)
     return [plain] + (["#" + digits[-7:]] if len(digits) >= 7 else [])
 
 

@@ -85,3 +85,32 @@ def test_query_and_odd_rows(spark, small_dir, odd, no_docs, field):
     assert clean[12].text.startswith("mail <EMAIL> or <PHONE>, <IP> and <CARD> ") and clean[12].n_chars == len(clean[12].text)
     assert clean[3].text is None and clean[0].text == text[0] and set(clean[0].asDict()) == set(odd.columns)
     assert pii.detect(no_docs, field).isEmpty() and pii.train(no_docs).index == {}
+
+
+def test_values_in_unspaced_text_are_tokens_of_their_own():
+    line = '{"id":12,"note":"' + "x" * 300 + '","phone":"(487)555-7209","mail":"a.b@c.example","n":[1,2]}'
+    assert [line[a:b] for a, b in pii.tokens(line)] == ["12", "(487)555-7209", "a.b@c.example", "1", "2"]
+    prose = "電話は0312345678です、" * 30 + "番号4875557209。"
+    assert [prose[a:b] for a, b in pii.tokens(prose)] == ["0312345678"] * 30 + ["4875557209"]
+
+
+def test_nothing_is_read_by_prefix(field):
+    """A number far inside an unspaced run is linked, and tokens that differ behind 200 characters are not."""
+    text = "Call +1 (487) 555-7209 now. " + '{"note":"' + "x" * 400 + '","phone":"4875557209"}'
+    net = pii.field_of([text], [[]])
+    piece = {text[a:b]: i for i, (a, b) in enumerate(net.span)}
+    assert [piece["555-7209"], piece["4875557209"]] in net.skip.tolist()
+    one, two = "9" * 250 + "1234567", "9" * 250 + "7654321"
+    assert pii.field_of([f"{one} {two}"], [[]]).skip.tolist() == []
+    assert pii.field_of([f"{one} {one}"], [[]]).skip.tolist() == [[0, 1]]
+    assert pii._shape("1" * 300 + "." + "ab") == "9" * 300 + ".a"
+
+
+def test_long_tokens_take_linear_time():
+    import time
+
+    start = time.process_time()
+    long = "1a.@" * 500_000
+    assert pii.tokens(long) == [(0, len(long))]
+    pii.field_of([long], [[]])
+    assert time.process_time() - start < 60
