@@ -65,6 +65,12 @@ SEVERITY_KEYWORDS = {
     "low": ("info", "success", "completed", "started", "connected", "loaded", "healthy"),
 }
 
+# --- fixed values: lines of the text summary ---
+INSIGHT_CRITICAL = "[!] %d messages contain CRITICAL severity indicators"
+INSIGHT_HIGH = "[!] %d messages contain HIGH severity indicators"
+INSIGHT_TERMS = "Most frequent terms: %s"
+INSIGHT_RICHNESS = "Vocabulary richness: %.1f%%"
+
 # --- fixed values: message patterns ---
 TERM_PATTERN = r"\b[a-zA-Z_][a-zA-Z0-9_]*\b"
 

@@ -155,13 +155,13 @@ def insights(grams: DataFrame, severities: DataFrame) -> DataFrame:
     lines = F.array(
         F.when(
             F.col("critical") > 0,
-            F.format_string("[!] %d messages contain CRITICAL severity indicators", "critical"),
+            F.format_string(fv.INSIGHT_CRITICAL, "critical"),
         ),
         F.when(
-            F.col("high") > 0, F.format_string("[!] %d messages contain HIGH severity indicators", "high")
+            F.col("high") > 0, F.format_string(fv.INSIGHT_HIGH, "high")
         ),
-        F.when(F.size(found) > 0, F.concat(F.lit("Most frequent terms: "), F.array_join(found, ", "))),
-        F.format_string("Vocabulary richness: %.1f%%", richness * 100),
+        F.when(F.size(found) > 0, F.format_string(fv.INSIGHT_TERMS, F.array_join(found, ", "))),
+        F.format_string(fv.INSIGHT_RICHNESS, richness * 100),
     )
     rows = hits.select(F.posexplode(lines).alias("line", "insight"))
     return rows.where(F.col("insight").isNotNull())

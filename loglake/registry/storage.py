@@ -106,28 +106,42 @@ def content_manifest(spark, sf_dir):
     )
 
 
-def zone_stats(spark, sf_dir):
+#: One line per document; the same text in both engines.
+_LINE = "concat(doc_id, ' ', lang, ' ', source, ' ', n_chars)"
+
+
+def _documents_lake(spark, sf_dir):
+    """Three documents of one file each: d0 recorded, d1 recorded twice (at first with d0's lines), d2 not recorded."""
+    root = scratch_path(spark, "lake")
     docs = t.table(spark, sf_dir, "documents")
-    return lake.zone_stats(docs.select(F.col("source").alias("zone"), F.col("n_chars").alias("size_bytes")))
+
+    def lines(part):
+        return docs.where(F.col("doc_id") % 3 == part).orderBy("doc_id").coalesce(1).select(F.expr(_LINE).alias("value"))
+
+    lake.store_recorded(lines(0), root, "raw", "d0", 1, fmt="text")
+    lake.store_recorded(lines(0), root, "raw", "d1", 1, fmt="text")
+    lake.store_recorded(lines(1), root, "raw", "d1", 2, fmt="text")
+    lake.store_table(lines(2), root, "raw", "d2", fmt="text")
+    return root
+
+
+def zone_stats(spark, sf_dir):
+    return lake.zone_stats(lake.lake_files(spark, _documents_lake(spark, sf_dir)))
 
 
 def manifest(spark, sf_dir):
-    files = lake.file_manifest(spark, _lake(spark, sf_dir), "raw")
-    return files.select("zone", F.regexp_extract("name", "source=([^/]+)", 1).alias("source"), "size_bytes", "size_human", "md5")
+    files = lake.file_manifest(spark, _documents_lake(spark, sf_dir), "raw")
+    return files.select("zone", F.substring_index("name", "/part-", 1).alias("name"), "size_bytes", "size_human", "md5")
 
 
 def listed(spark, sf_dir):
-    files = lake.list_files(spark, _lake(spark, sf_dir), "raw", "*.txt")
-    return files.select(F.regexp_extract("name", "source=([^/]+)", 1).alias("source")).distinct()
+    files = lake.list_files(spark, _documents_lake(spark, sf_dir), "raw", "*.txt")
+    return files.select(F.regexp_replace("name", "/part-.*", "").alias("name"))
 
 
 def metadata(spark, sf_dir):
-    """Metadata of the first stored file, recorded or else listed."""
-    root = _lake(spark, sf_dir)
-    recorded = lake.file_manifest(spark, root, "raw")
-    first = recorded.agg(F.min("name").alias("name")).first().name
-    found = lake.file_metadata(recorded, recorded.drop("md5"), first)
-    return found.withColumn("name", F.regexp_extract("name", "source=([^/]+)", 1))
+    """Recorded, listed only, and missing."""
+    return lake.file_metadata(spark, _documents_lake(spark, sf_dir), "raw", ["d0", "d1", "d2", "d9"])
 
 
 def stored(spark, sf_dir):
@@ -265,6 +279,9 @@ def _class(column: str) -> str:
 
 _NORMAL_LEVEL = "case level when 'WARN' then 'WARNING' when 'FATAL' then 'CRITICAL' else level end as level"
 
+_FILES_SQL = f"""select concat('d', doc_id % 3) as name, cast(sum(octet_length(encode({_LINE})) + 1) as bigint) as size_bytes,
+    md5(string_agg({_LINE} || chr(10), '' order by doc_id)) as md5 from documents group by 1"""
+
 ORACLES = {
     "incremental_run": v.with_views(
         f"select file, timestamp, {_NORMAL_LEVEL}, message, service, status_code from cleaned", "cleaned"
@@ -311,9 +328,15 @@ ORACLES = {
     "read_summary_json": v.with_views(_SECTIONS_SQL, "enriched"),
     "content_manifest": f"""select doc_id, octet_length(encode(text)) as size_bytes,
         {_human("octet_length(encode(text))")} as size_human, md5(text) as md5 from documents""",
-    "zone_stats": f"""select source as zone, count(*) as file_count, cast(sum(n_chars) as bigint) as total_size_bytes,
-        {_human("sum(n_chars)")} as total_size_human from documents group by source""",
-    "list_zone_files": "select distinct source from documents",
+    "zone_stats": f"""select zone, file_count, total_size_bytes, {_human("total_size_bytes")} as total_size_human
+        from (select 'raw' as zone, count(*) as file_count, cast(sum(size_bytes) as bigint) as total_size_bytes from ({_FILES_SQL})
+          union all select unnest(['processed', 'models', 'reports']), 0, 0)""",
+    "file_manifest": f"select 'raw' as zone, name, size_bytes, {_human('size_bytes')} as size_human, md5 from ({_FILES_SQL})",
+    "list_zone_files": f"select name from ({_FILES_SQL})",
+    "file_metadata": f"""select w.name, case when w.name in ('d0', 'd1') then 'recorded' when w.name = 'd2' then 'listed' else 'missing' end as status,
+          case when f.name is not null then 1 end as files, size_bytes, case when size_bytes is not null then {_human("size_bytes")} end as size_human,
+          case when w.name in ('d0', 'd1') then md5 end as md5
+        from (select unnest(['d0', 'd1', 'd2', 'd9']) as name) w left join ({_FILES_SQL}) f on w.name = f.name""",
     "store_zone": "select doc_id, lang, source, text from documents",
     "retrieve_zone": "select doc_id, lang, text from documents",
     "headline_metrics": v.with_views(

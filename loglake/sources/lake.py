@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,48 +86,92 @@ def _name(path: str) -> Column:
     return F.substring_index(F.col("path"), marker, -1)
 
 
-def file_manifest(spark: SparkSession, root: str, zone: str) -> DataFrame:
-    """Size, readable size, MD5 and time of every file in a zone."""
-    return _listing(spark, root, zone).select(
-        "zone",
-        "name",
-        "path",
-        F.col("length").alias("size_bytes"),
-        human_size(F.col("length")).alias("size_human"),
-        F.md5("content").alias("md5"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+#: Files up to so many bytes are hashed whole; Spark hands a task no file of 2 GB and more.
+LARGEST_HASHED = 1 << 30
+
+
+def file_manifest(spark: SparkSession, root: str, zone: str, largest: int = LARGEST_HASHED) -> DataFrame:
+    """Size, readable size, MD5 and time of every file in a zone, its folders included.
+
+    Files of more than ``largest`` bytes have no MD5; their content is not read.
+    """
+    files = _listing(spark, root, zone)
+    known = ["zone", "name", "path", F.col("length").alias("size_bytes"), human_size(F.col("length")).alias("size_human")]
+    time = F.col("modificationTime").alias("modified_at")
+    hashed = files.where(F.col("length") <= largest).select(*known, F.md5("content").alias("md5"), time)
+    large = files.where(F.col("length") > largest).select(*known, F.lit(None).cast("string").alias("md5"), time)
+    return hashed.unionAll(large)
 
 
 def list_files(spark: SparkSession, root: str, zone: str, pattern: str = "*") -> DataFrame:
     return _listing(spark, root, zone, pattern).select("name").orderBy("name")
 
 
-def file_metadata(manifest: DataFrame, listing: DataFrame, name: str) -> DataFrame:
-    """Recorded metadata of a file, completed from the listing where nothing was recorded."""
-    recorded = manifest.where(F.col("name") == name)
-    listed = listing.where(F.col("name") == name)
-    found = listed.alias("l").join(recorded.alias("r"), "name", "full")
-    same = ("zone", "size_bytes", "size_human")
+def store_recorded(df: DataFrame, root: str, zone: str, name: str, version: int, fmt: str = "parquet") -> str:
+    """Stores a document (a name without slashes) and records its files: sizes, MD5 and ``version``.
+
+    Records are appended to the catalog and never changed; the greatest version of a name counts.
+    """
+    path = store_table(df, root, zone, name, fmt)
+    files = file_manifest(df.sparkSession, root, zone).where(_document() == name)
+    files.withColumn("version", F.lit(version).cast("bigint")).write.mode("append").parquet(f"{root.rstrip('/')}/catalog")
+    return path
+
+
+def _document() -> Column:
+    """The stored name that a file belongs to: the first folder of its path in the zone."""
+    return F.substring_index("name", "/", 1)
+
+
+def recorded_files(spark: SparkSession, root: str) -> DataFrame:
+    """The catalog's newest records: ``document`` and the columns of ``file_manifest``."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/catalog").withColumn("document", _document())
+    newest = rows.groupBy("zone", "document").agg(F.max("version").alias("version"))
+    return rows.join(newest, ["zone", "document", "version"], "left_semi")
+
+
+def file_metadata(spark: SparkSession, root: str, zone: str, names: Sequence[str]) -> DataFrame:
+    """One row per name: ``status``, files, size and, for a single file, its MD5.
+
+    What was recorded when a document was stored is ``recorded``; a document without records is
+    ``listed`` by its files; any other name is ``missing``.
+    """
+    totals = [F.count("*").alias("files"), F.sum("size_bytes").alias("size_bytes")]
+    recorded = recorded_files(spark, root).where(F.col("zone") == zone).withColumnRenamed("name", "file")
+    one = F.when(F.count("*") == 1, F.max("md5")).alias("md5")
+    recorded = recorded.groupBy(F.col("document").alias("name")).agg(*totals, one)
+    files = _listing(spark, root, zone).select(_document().alias("name"), F.col("length").alias("size_bytes"))
+    listed = files.groupBy("name").agg(*totals)
+    wanted = spark.createDataFrame([(n,) for n in names], "name string")
+    found = wanted.alias("w").join(recorded.alias("r"), "name", "left").join(listed.alias("l"), "name", "left")
+    status = F.when(F.col("r.files").isNotNull(), "recorded").when(F.col("l.files").isNotNull(), "listed").otherwise("missing")
+    size = F.coalesce(F.col("r.size_bytes"), F.col("l.size_bytes"))
     return found.select(
-        "name", *(F.coalesce(F.col(f"r.{c}"), F.col(f"l.{c}")).alias(c) for c in same), F.col("r.md5")
-    )
+        "name", status.alias("status"), F.coalesce(F.col("r.files"), F.col("l.files")).alias("files"),
+        size.alias("size_bytes"), F.when(size.isNotNull(), human_size(size)).alias("size_human"), F.col("r.md5").alias("md5"),
+    )
 
 
-def zone_stats(files: DataFrame) -> DataFrame:
-    """Files and bytes per zone of ``files(zone, name, size_bytes)``, empty zones left out."""
+def zone_stats(files: DataFrame, zones: Sequence[str] = fv.ZONES) -> DataFrame:
+    """Files and bytes per zone of ``files(zone, name, size_bytes)``; zones without files have 0."""
     total = F.sum("size_bytes")
-    return files.groupBy("zone").agg(
-        F.count("*").alias("file_count"), total.alias("total_size_bytes"), human_size(total).alias("total_size_human")
+    held = files.groupBy("zone").agg(F.count("*").alias("file_count"), total.alias("total_size_bytes"))
+    every = files.sparkSession.createDataFrame([(z,) for z in zones], "zone string")
+    count, size = (F.coalesce(c, F.lit(0)) for c in ("file_count", "total_size_bytes"))
+    return every.join(held, "zone", "left").select(
+        "zone", count.alias("file_count"), size.alias("total_size_bytes"), human_size(size).alias("total_size_human")
     )
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def lake_files(spark: SparkSession, root: str, zones: tuple[str, ...] = fv.ZONES) -> DataFrame:
-    """Names and sizes of all zones' files."""
-    parts = [
-        _listing(spark, root, z).select("zone", "name", F.col("length").alias("size_bytes")) for z in zones
-    ]
-    files = parts[0]
-    for part in parts[1:]:
-        files = files.unionByName(part)
+    """Names and sizes of all zones' files; a zone that does not exist yet has none."""
+    files = spark.createDataFrame([], "zone string, name string, size_bytes bigint")
+    for z in zones:
+        if _has_files(spark, zone_path(root, z)):
+            files = files.unionByName(_listing(spark, root, z).select("zone", "name", F.col("length").alias("size_bytes")))
     return files

@@ -1,8 +1,4 @@
-"""Structured records rendered as raw lines, and planted disturbances.
-
-The counterpart of a log simulator as a table job: the records come from a table, the
-formats are the four the parser knows, and every random choice is a hash of the row.
-"""
+"""Structured records of a table rendered as raw lines of the formats the parser knows."""
 
 from __future__ import annotations
 
@@ -81,45 +77,3 @@ def render_lines(records: DataFrame) -> DataFrame:
     return records.select(F.col("row_id").alias("_line_no"), F.inline(lines)).select(
         "_file", F.lit(0).cast("bigint").alias("_block"), "_line_no", "value"
     )
-
-
-def chance(percent: float, *key: str) -> Column:
-    """True for about ``percent`` of the rows, decided by a hash of ``key``."""
-    return F.pmod(F.xxhash64(*key), F.lit(1_000_000)) < F.lit(int(percent * 10_000))
-
-
-def plant_disturbances(
-    records: DataFrame,
-    anomaly_percent: float = 5.0,
-    burst_percent: float = 10.0,
-    duplicate_percent: float = 2.0,
-) -> DataFrame:
-    """Mark records as anomalous, follow some by a burst, and repeat some lines.
-
-    An anomalous record turns into a server error of level ERROR or CRITICAL. A burst
-    is 20 to 100 such records one second apart. ``copy`` numbers the rows made from one
-    record: 0 is the record, positive its burst, -1 its duplicate.
-    """
-    anomalous = chance(anomaly_percent, "row_id")
-    bursts = anomalous & (F.pmod(F.xxhash64("row_id", F.lit("burst")), F.lit(1000)) < int(burst_percent * 10))
-    length = F.pmod(F.xxhash64("row_id", F.lit("length")), F.lit(81)) + 20
-    own = F.array(F.lit(0).cast("bigint"))
-    marked = records.withColumn("is_planted", anomalous).withColumn(
-        "copy", F.explode(F.when(bursts, F.sequence(F.lit(0).cast("bigint"), length)).otherwise(own))
-    )
-    hot_level = F.when(F.pmod(F.xxhash64("row_id", "copy"), F.lit(2)) == 0, "ERROR").otherwise("CRITICAL")
-    disturbed = marked.withColumns(
-        {
-            "timestamp": F.expr("timestamp + make_dt_interval(0, 0, 0, copy)"),
-            "level": F.when(F.col("is_planted"), hot_level).otherwise(F.col("level")),
-            "status_code": F.when(F.col("is_planted"), F.lit(503)).otherwise(F.col("status_code")),
-            "duration_ms": F.when(F.col("is_planted"), F.col("duration_ms") + 2000).otherwise(
-                F.col("duration_ms")
-            ),
-        }
-    )
-    # duplicates keep the content of the row they repeat, so they carry no new random value
-    repeated = F.when(
-        chance(duplicate_percent, "row_id", "copy"), F.array(F.col("copy"), F.lit(-1).cast("bigint"))
-    ).otherwise(F.array("copy"))
-    return disturbed.withColumn("copy", F.explode(repeated))

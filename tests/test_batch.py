@@ -1,5 +1,7 @@
 """Whole jobs, the lake, and plan shapes that matter at scale."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,10 +146,25 @@ def test_render_rejects_unknown_formats(spark, sf_dir):
         render.render(t.logs(spark, sf_dir), "csv")
 
 
-def test_planted_disturbances(spark, sf_dir):
-    rows = render.plant_disturbances(t.logs(spark, sf_dir))
-    assert rows.where("is_planted and level not in ('ERROR', 'CRITICAL')").isEmpty()
-    bursts = rows.where("copy > 0").groupBy("row_id").agg(F.max("copy").alias("n"), F.count("*").alias("rows"))
-    assert bursts.where("n < 20 or n > 100").isEmpty() and not bursts.isEmpty()
-    again = render.plant_disturbances(t.logs(spark, sf_dir).repartition(3))
-    assert rows.exceptAll(again).isEmpty()
+def test_catalog_keeps_what_was_recorded(spark, tmp_path):
+    root = str(tmp_path)
+    for version, n in ((1, 10), (2, 500)):
+        lake.store_recorded(spark.range(n).coalesce(1).selectExpr("cast(id as string) as value"), root, "raw", "a", version, fmt="text")
+    lake.store_recorded(spark.range(8).repartition(2).selectExpr("cast(id as string) as value"), root, "reports", "a", 1, fmt="text")
+    lake.store_table(spark.range(3).coalesce(1).selectExpr("'x' as value"), root, "raw", "b", fmt="text")
+    found = {r.name: r for r in lake.file_metadata(spark, root, "raw", ["a", "b", "c"]).collect()}
+    assert {n: (r.status, r.files, r.size_bytes) for n, r in found.items()} == {
+        "a": ("recorded", 1, sum(len(str(i)) + 1 for i in range(500))), "b": ("listed", 1, 6), "c": ("missing", None, None),
+    }
+    assert found["a"].md5 == hashlib.md5("".join(f"{i}\n" for i in range(500)).encode()).hexdigest() and found["b"].md5 is None
+    # files beyond the bound are listed, not read
+    bounded = {r.name.split("/")[0]: r for r in lake.file_manifest(spark, root, "raw", largest=100).collect()}
+    assert bounded["a"].md5 is None and bounded["a"].size_bytes > 100 and bounded["b"].md5 is not None
+    stats = {r.zone: (r.file_count, r.total_size_bytes) for r in lake.zone_stats(lake.lake_files(spark, root)).collect()}
+    assert stats["reports"] == (2, 16) and stats["processed"] == stats["models"] == (0, 0) and stats["raw"][0] == 2
+
+
+def test_newest_batch_by_number(spark, tmp_path):
+    for batch_no in (2, 9, 10):
+        lake.store_batch(spark.range(batch_no).withColumnRenamed("id", "n"), str(tmp_path), "processed", "t", str(batch_no), by="batch")
+    assert lake.read_latest(spark, str(tmp_path), "processed", "t", by="batch").count() == 10
