@@ -20,7 +20,8 @@ def dedup_keep_first(df: DataFrame, key: str = "_raw", order: Sequence[str] = PO
 
     For positions, and for a single integer column that is unique per row, a hash aggregate keeps the first
     position of every key, reduced inside each map task, so a line that makes up a third
-    of the input is never gathered in one place; the rows at these positions are then fetched by a semi-join.
+    of the input is never gathered in one place; the rows at these positions are then fetched by a semi-join
+    with numbers alone. No two rows may share a position.
     Any other order may have ties: there an aggregate carries the whole row.
     """
     if tuple(order) == POSITION:
@@ -29,9 +30,8 @@ def dedup_keep_first(df: DataFrame, key: str = "_raw", order: Sequence[str] = PO
         placed = df.withColumn("_position", F.col(order[0]).cast("bigint"))
     else:
         return _first_rows(df, key, order)
-    firsts = placed.groupBy(F.col(key).alias("_key")).agg(F.min("_position").alias("_first"))
-    same = (F.col("_position") == F.col("_first")) & F.col(key).eqNullSafe(F.col("_key"))
-    return placed.join(firsts, same, "left_semi").select(*df.columns)
+    firsts = placed.groupBy(key).agg(F.min("_position").alias("_position")).select("_position")
+    return placed.join(firsts, "_position", "left_semi").select(*df.columns)
 
 
 def _first_rows(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
