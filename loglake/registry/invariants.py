@@ -35,7 +35,11 @@ def training_checked(spark, sf_dir):
 
 
 def anomaly_results_checked(spark, sf_dir):
-    return storage.anomaly_results(spark, sf_dir).select("row_id", "timestamp", "message", F.col("is_anomaly").isin(0, 1).alias("labelled"))
+    """In the stored table, scores below 0 are anomalies and the severity is that of the score."""
+    score = F.col("anomaly_score")
+    severity = F.when(score <= -0.3, "critical").when(score <= -0.1, "high").when(score <= 0, "medium").otherwise("normal")
+    follows = (F.col("is_anomaly") == (score < 0).cast("int")) & (F.col("anomaly_severity") == severity)
+    return storage.anomaly_results(spark, sf_dir).select("row_id", "timestamp", "message", F.coalesce(follows, F.lit(False)).alias("labelled"))
 
 
 def anomaly_roundtrip_checked(spark, sf_dir):
