@@ -9,11 +9,15 @@ Unrelated documents all lie at distance 1 from each other and from any pivot, so
 alone would replicate every set into every region. Regions are therefore opened by
 shingles: in an order that puts rare shingles first, two sets within the radius share one of their first
 ``n - ceil(0.8 n) + 1`` shingles, so the sets that hold one shingle there form a region,
-and every link lies inside one. Each region takes the set with the fewest rare shingles as its pivot and compares the others
-with it. What the pivots tie together is one component and needs no more comparisons.
-Regions that still hold several components are joined again with another pivot, and when few
-pairs are left open, those that all pivots' windows admit are compared one by one. The
-components are exact, up to collisions of 64-bit hashes.
+and every link lies inside one.
+
+A region's pivot is its set with the fewest rare shingles; sets that it cannot link get further pivots. Each set
+is compared with its nearest pivots, and what they tie together is one component. Regions that
+still hold several components are joined inside tasks: a region of more than ``BLOCK`` sets is cut into windows of the
+distance to its pivot, with the boundary sets in the next window too, and a window that stays large into pairs of blocks. There
+every pair of different components is bounded from above by its counts of shingles per hash bucket, and only
+pairs that may link leave the task. First the two best pairs of any two components are compared by their whole sets, then the
+rest that is still apart. The components are exact, up to collisions of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglake.llm.components import components
@@ -37,9 +41,14 @@ RADIUS = 1 - PERCENT / 100
 COMMON = 16
 LOCAL = 2
 MOST_COMMON = 1 << 18
-#: Open pairs for each set in a region that may be compared one by one.
-CHEAP = 16
-ROUNDS = 12
+#: Sets of a region, window or block that are compared with each other in one task.
+BLOCK = 1024
+#: Pivots that a region tries to give each set a near one.
+PIVOTS = 4
+#: Best pairs compared for each set, and for any two components, before the rest is.
+BEST = 2
+#: Hash buckets a set's shingles are counted in; sets of more than ``LONG`` shingles have the finer ones.
+BUCKETS, FINE, LONG = 256, 2048, 2048
 #: Bits that mark documents whose sets are needed.
 BITS = 1 << 26
 
@@ -72,23 +81,62 @@ def class_of(own: np.ndarray) -> int:
     return int(mix(np.array([total])).view(np.int64)[0])
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Shingles counted by bucket: two sets share at most the sum of their lesser counts."""
+    buckets = BUCKETS if len(own) <= LONG else FINE
+    counts = np.bincount((own & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return counts.astype(np.uint16 if counts.max() < 1 << 16 else np.uint32).tobytes()
+
+
+class Sketches:
+    """Sketches of many sets, as matrices; a fine one is folded where its partner is coarse."""
+
+    def __init__(self, rows: list[bytes], n: np.ndarray):
+        self.n = n
+        self.coarse = np.zeros((len(rows), BUCKETS), np.uint32)
+        fine = n > LONG
+        if not fine.all():
+            self.coarse[~fine] = np.frombuffer(b"".join(r for r, f in zip(rows, fine) if not f), np.uint16).reshape(-1, BUCKETS)
+        self.place = np.cumsum(fine) - 1
+        self.fine = np.zeros((int(fine.sum()), FINE), np.uint32)
+        for place, at in enumerate(np.flatnonzero(fine)):
+            counts = np.frombuffer(rows[at], np.uint16 if len(rows[at]) == 2 * FINE else np.uint32)
+            self.fine[place] = counts
+            self.coarse[at] = counts.reshape(-1, BUCKETS).sum(axis=0)
+
+    def overlap(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Most shingles that each of the pairs can share."""
+        most = np.empty(len(a), np.int64)
+        fine = (self.n[a] > LONG) & (self.n[b] > LONG)
+        for matrix, mask, at in ((self.coarse, ~fine, None), (self.fine, fine, self.place)):
+            where = np.flatnonzero(mask)
+            for low in range(0, len(where), 4096):
+                some = where[low : low + 4096]
+                left, right = (a[some], b[some]) if at is None else (at[a[some]], at[b[some]])
+                most[some] = np.minimum(matrix[left], matrix[right]).sum(axis=1)
+        return most
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("_text"))
 
 
 def _count_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n (shingles) and class of every row; besides, shingles that repeat among the sets of a batch."""
+    """doc_id, n (shingles) and class of every row; besides, the sketch of a class where a batch
+    first meets it, and shingles that repeat among the sets of a batch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     pair = pa.struct([("shingle", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, classes, seen, members = [], [], set(), []
+            n, classes, seen, members, sketches = [], [], set(), [], []
             for piece in slices(batch.column("_text")):
                 for own in sets(piece):
                     n.append(len(own))
                     classes.append(class_of(own) if len(own) else None)
-                    if len(own) and classes[-1] not in seen:
+                    first = len(own) > 0 and classes[-1] not in seen
+                    sketches.append(sketch(own) if first else None)
+                    if first:
                         seen.add(classes[-1])
                         members.append(own)
             repeats: list[dict] = []
@@ -98,11 +146,11 @@ def _count_sets(docs: DataFrame) -> DataFrame:
                 repeats = [{"shingle": s, "n": c} for s, c in zip(value[often].view(np.int64).tolist(), count[often].tolist())]
             lists = pa.array([repeats if i == 0 else None for i in range(batch.num_rows)], pa.list_(pair))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), lists],
-                ["doc_id", "n", "class", "repeats"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()), lists],
+                ["doc_id", "n", "class", "sketch", "repeats"],
             )
 
-    schema = f"doc_id {kind}, n bigint, class bigint, repeats array<struct<shingle: bigint, n: bigint>>"
+    schema = f"doc_id {kind}, n bigint, class bigint, sketch binary, repeats array<struct<shingle: bigint, n: bigint>>"
     return _slim(docs).mapInArrow(run, schema)
 
 
@@ -159,7 +207,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sets of the wanted documents: class and its sorted shingles. No text is shuffled: the scan
+    """Sets of the wanted documents: class and its sorted shingles, as a written table. No text is shuffled: the scan
     keeps what a bitmap of bounded size marks, so a few other sets may come along."""
     marked = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
@@ -175,31 +223,16 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([classes, lists], ["class", "shingles"])
 
     rows = docs.select(_bit().alias("_bit"), F.col("text").cast("string").alias("_text"))
-    return rows.mapInArrow(run, "class bigint, shingles array<bigint>").where(F.col("class").isNotNull())
-
-
-def _judged(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) of n and m shingles: can they be within the radius by their opening
-    shingles (``admitted``), and the distance that these leave at least (``apart``)?
-
-    Of a set's members behind its openings ``ceil(0.8 n) - 1`` are left, so an overlap of
-    ``4 (n + m) / 9`` needs a number of common openings, which both sets' openings show.
-    """
-    left = heads.select(F.col("class").alias("a"), F.col("opening").alias("_a"))
-    right = heads.select(F.col("class").alias("b"), F.col("opening").alias("_b"))
-    wanted = F.expr(f"({PERCENT} * (n + m) + {99 + PERCENT}) div {100 + PERCENT}")
-    behind = F.expr(f"({PERCENT} * greatest(n, m) + 99) div 100 - 1")
-    most = F.least(F.size(F.array_intersect("_a", "_b")) + behind, "n", "m").alias("most")
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", most)
-    apart = (1 - F.col("most") / (F.col("n") + F.col("m") - F.col("most"))).alias("apart")
-    return written(rows.select("a", "b", (F.col("most") >= wanted).alias("admitted"), apart), "judged")
+    members = written(rows.mapInArrow(run, "class bigint, shingles array<bigint>").where(F.col("class").isNotNull()), "members")
+    marked.destroy()
+    return members
 
 
 def _measured(docs: DataFrame, inside: DataFrame, pairs: DataFrame) -> DataFrame:
     """Jaccard distance of every pair (a, b), from the whole sets."""
     pairs = written(pairs.select("a", "b"), "pairs")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    members = written(_members(docs, inside.join(wanted, "class", "left_semi").select("doc_id")), "members")
+    members = _members(docs, inside.join(wanted, "class", "left_semi").select("doc_id"))
     left = members.select(F.col("class").alias("a"), F.col("shingles").alias("_a"))
     right = members.select(F.col("class").alias("b"), F.col("shingles").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -211,13 +244,8 @@ def _measured(docs: DataFrame, inside: DataFrame, pairs: DataFrame) -> DataFrame
     return sized.select("a", "b", distance, linked).dropDuplicates(["a", "b"])
 
 
-def _near_in_size(a: str, b: str):
-    return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
-
-
-def _regions(docs: DataFrame, common: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Openings (shingle, class) that are not alone, and rows of region, class and rare for all
-    regions of two and more sets; of regions with the same sets one stays."""
+def _regions(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """Rows of region, class and rare for all regions of two and more sets; of regions with the same sets one stays."""
     twice = _openings(docs, common, False).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     rows = _openings(docs, common, True).join(twice, "shingle").groupBy("shingle", "class").agg(F.first("rare").alias("rare"))
     rows = written(rows, "openings")
@@ -225,104 +253,185 @@ def _regions(docs: DataFrame, common: np.ndarray) -> tuple[DataFrame, DataFrame]
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
     )
     kept = signature.where("n > 1").groupBy("n", "x", "y").agg(F.min("shingle").alias("shingle")).select("shingle")
-    return rows, written(rows.join(kept, "shingle").withColumnRenamed("shingle", "region"), "regions")
+    return rows.join(kept, "shingle").withColumnRenamed("shingle", "region")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches of rows sorted by group as tables that hold whole groups."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        group = rest.column("group").to_numpy()
+        cut = int(np.searchsorted(group, group[-1])) if len(group) else 0
+        if cut:
+            yield rest.slice(0, cut)
+            rest = rest.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _grouped(rows: DataFrame, *order: str) -> DataFrame:
+    return rows.repartition("group").sortWithinPartitions("group", *order)
+
+
+def _to_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pivot that may be nearest of every row, and how far its group's first pivot is at least."""
+    for table in _whole_groups(batches):
+        group, n, class_ = (table.column(c).to_numpy() for c in ("group", "n", "class"))
+        known = Sketches(table.column("sketch").to_pylist(), n)
+        start = np.searchsorted(group, group)
+        rows = np.arange(len(group))
+        nearest, best, apart = rows.copy(), np.full(len(group), -1.0), np.zeros(len(group))
+        pivot, open_ = start, rows
+        for turn in range(PIVOTS):
+            to = pivot[open_]
+            both = n[open_] + n[to]
+            shared = known.overlap(open_, to)
+            share = shared / (both - shared)
+            if not turn:
+                apart = 1 - share
+            may = ((100 + PERCENT) * shared >= PERCENT * both) & (share > best[open_]) & (class_[open_] != class_[to])
+            nearest[open_[may]], best[open_[may]] = to[may], share[may]
+            # what no pivot may link has its group's first such row as the next pivot
+            open_ = open_[((best[open_] < 0) & (open_ != to))]
+            if not len(open_):
+                break
+            firsts = np.searchsorted(group[open_], group[open_])
+            pivot = np.zeros(len(group), np.int64)
+            pivot[open_] = open_[firsts]
+        yield pa.RecordBatch.from_arrays(
+            [table.column("region").combine_chunks(), pa.array(class_), pa.array(class_[nearest]), pa.array(best), pa.array(apart)],
+            ["region", "a", "b", "share", "apart"],
+        )
+
+
+def _pairs_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a group that are of different components and may link by windows, sizes and sketches."""
+    for table in _whole_groups(batches):
+        group, n, class_, component, low, high, block, two = (
+            table.column(c).to_numpy() for c in ("group", "n", "class", "component", "low", "high", "block", "two")
+        )
+        known = Sketches(table.column("sketch").to_pylist(), n)
+        left = np.arange(len(group))
+        reach = RADIUS + 1e-9
+        for lag in range(1, len(group)):
+            # rows whose group goes on that far
+            left = left[left < len(group) - lag]
+            left = left[group[left] == group[left + lag]]
+            if not len(left):
+                break
+            a, b = left, left + lag
+            may = (component[a] != component[b]) & (low[a] - high[b] <= reach) & (low[b] - high[a] <= reach)
+            may &= (100 * n[a] >= PERCENT * n[b]) & (100 * n[b] >= PERCENT * n[a]) & (~two[a] | (block[a] != block[b]))
+            a, b = a[may], b[may]
+            if not len(a):
+                continue
+            shared, both = known.overlap(a, b), n[a] + n[b]
+            may = (100 + PERCENT) * shared >= PERCENT * both
+            a, b, share = a[may], b[may], (shared / (both - shared))[may]
+            if not len(a):
+                continue
+            turned = component[a] > component[b]
+            a, b = np.where(turned, b, a), np.where(turned, a, b)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(class_[a]), pa.array(class_[b]), pa.array(component[a]), pa.array(component[b]), pa.array(share)],
+                ["a", "b", "u", "v", "share"],
+            )
+
+
+def _windows(active: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``key`` with the number of blocks that it has to be cut into (``parts``)."""
+    sizes = active.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    return active.join(sizes, key)
+
+
+def _placed(active: DataFrame) -> DataFrame:
+    """Rows of regions with their group: the region, of a large one each window of distances to its
+    pivot that a set can be in or next to, of a large window each pair of blocks."""
+    width = lambda c, d: F.floor((F.col(c) + d) / RADIUS).cast("int")
+    rings = F.sequence(F.greatest(width("low", -1e-9), F.lit(0)), F.least(width("high", 1e-9) + 1, F.lit(5)))
+    cut = _windows(active, ["region"])
+    cut = cut.withColumn("ring", F.explode(F.when(F.col("parts") > 1, rings).otherwise(F.array(F.lit(-1))))).drop("parts")
+    cut = _windows(cut, ["region", "ring"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    first, second = F.least("block", "other"), F.greatest("block", "other")
+    group = F.xxhash64("region", "ring", first, second).alias("group")
+    return cut.select(group, (first != second).alias("two"), "block", "class", "n", "component", "low", "high", "sketch")
+
+
+def _best(pairs: DataFrame, *key: str) -> DataFrame:
+    """The pairs of each key with the greatest shares, ``BEST`` at most."""
+    once = pairs.groupBy(*dict.fromkeys((*key, "a", "b"))).agg(F.max("share").alias("share"))
+    order = Window.partitionBy(*key).orderBy(F.desc("share"), "a", "b")
+    return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= BEST).select("a", "b")
+
+
+def _tied(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels (class, component) after the links (a, b) between them."""
+    one = labels.select(F.col("class").alias("a"), F.col("component").alias("u"))
+    two = labels.select(F.col("class").alias("b"), F.col("component").alias("v"))
+    links = written(found.join(one, "a").join(two, "b").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), "links")
+    if links.isEmpty():
+        return labels
+    merged = labels.join(components(links).withColumnRenamed("component", "to"), F.col("component") == F.col("node"), "left")
+    return written(merged.select("class", F.coalesce("to", "component").alias("component")), "components")
 
 
 def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
-    """Links (a, b) between classes that tie together exactly the sets within the radius of each other."""
-    spark = docs.sparkSession
+    """Component of every class that shares a region with another: class and component."""
     again = counted.select(F.inline("repeats")).groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
     # at most MOST_COMMON numbers, whatever the input
     rows = again.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).select("shingle").toPandas()
     common = np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
 
-    openings, regions = _regions(docs, common)
-    heads = written(openings.groupBy("class").agg(F.collect_list("shingle").alias("opening")), "heads")
-    inside = regions.select("class").distinct()
+    regions = written(_regions(docs, common), "regions")
+    held = regions.select("class").distinct()
     sized = counted.where(F.col("class").isNotNull()).groupBy("class").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    inside = written(sized.join(inside, "class", "left_semi"), "inside")
-    regions = written(regions.join(inside.select("class", "n"), "class"), "regions")
-
-    labels = inside.select("class", F.col("class").alias("component"))
-    found = spark.createDataFrame([], "a bigint, b bigint")
-    known = spark.createDataFrame([], "a bigint, b bigint, distance double, linked boolean")
-    rest = regions
-    for turn in range(ROUNDS + 1):
-        placed = written(rest.join(labels, "class"), "placed")
-        shares = placed.groupBy("region", "component").agg(F.count("*").alias("held"))
-        spread = shares.groupBy("region").agg(
-            F.count("*").alias("parts"), F.sum("held").alias("all"), F.sum(F.col("held") * F.col("held")).alias("tied"),
-            F.max(F.struct("held", "component")).alias("main"),
-        ).where("parts > 1")
-        spread = written(spread.select("region", "all", "tied", F.col("main.component").alias("main")), "spread")
-        open_, rows = spread.agg(F.sum((F.col("all") * F.col("all") - F.col("tied")) / 2), F.sum("all")).first()
-        if not rows:
-            return found
-        active = placed.join(spread.select("region", "main"), "region")
-        if turn and (open_ <= CHEAP * rows or turn == ROUNDS):
-            break
-        # the first pivot is the most central set; later ones come from outside of the largest component
-        outside = active if not turn else active.where(F.col("component") != F.col("main"))
-        pivots = outside.groupBy("region").agg(F.min(F.struct("rare", "class", "n", "component")).alias("p"))
-        pivots = pivots.select("region", F.col("p.class").alias("b"), F.col("p.n").alias("m"), F.col("p.component").alias("to"))
-        pivots = written(pivots, "pivots")
-        # with all its pairs decided, a pivot leaves its region; regions of one component are done
-        rest = active.join(pivots.select("region", "b"), "region").where(F.col("class") != F.col("b"))
-        rest = rest.select("region", "class", "rare", "n")
-        pairs = active.join(pivots, "region").where((F.col("component") != F.col("to")) & _near_in_size("n", "m"))
-        pairs = pairs.select(F.col("class").alias("a"), "b", "n", "m").distinct()
-        pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        judged = _judged(pairs, heads)
-        fresh = written(_measured(docs, inside, judged.where("admitted")), "measured")
-        if not turn:
-            first = pivots.select("region", F.col("b").alias("pivot"))
-            exact = fresh.select("a", "b", F.col("distance").alias("low"), F.col("distance").alias("high"))
-            bounds = judged.where("not admitted").select("a", "b", F.col("apart").alias("low"), F.lit(1.0).alias("high"))
-            near = exact.unionByName(bounds).select(F.col("a").alias("class"), F.col("b").alias("pivot"), "low", "high")
-        known = known.unionByName(fresh)
-        linked = written(found.unionByName(fresh.where("linked").select("a", "b")), "found")
-        found = linked
-        labels = _labels(inside, found)
-
-    judged = _judged(_open_pairs(active.join(first, "region", "left"), near, known), heads)
-    rest = _measured(docs, inside, judged.where("admitted")).where("linked").select("a", "b")
-    return written(found.unionByName(rest), "found")
-
-
-def _labels(inside: DataFrame, found: DataFrame) -> DataFrame:
-    tied = components(found)
-    return written(
-        inside.join(tied, F.col("class") == F.col("node"), "left").select(
-            "class", F.coalesce("component", "class").alias("component")
-        ),
-        "components",
-    )
-
-
-def _open_pairs(active: DataFrame, near: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of one region and different components whose distances to every common pivot
-    differ by the radius at most. The region's first pivot decides within the join, the others after it."""
-    placed = active.join(near, ["class", "pivot"], "left").na.fill({"low": 0.0, "high": 1.0})
-    side = lambda x: [F.col(c).alias(x + c) for c in ("class", "n", "component", "low", "high")]
-    one = placed.where(F.col("component") != F.col("main")).select("region", *side("u_"))
-    two = placed.select("region", *side("v_"))
-    reach = RADIUS + 1e-9
-    window = (F.col("u_low") - F.col("v_high") <= reach) & (F.col("v_low") - F.col("u_high") <= reach)
-    pairs = one.join(two, "region").where(
-        (F.col("u_component") != F.col("v_component")) & _near_in_size("u_n", "v_n") & window
-    )
-    pairs = pairs.select(F.col("u_class").alias("u"), F.col("v_class").alias("v"), F.col("u_n").alias("nu"), F.col("v_n").alias("nv"))
-    turned = F.col("u") > F.col("v")
-    either = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
-    pairs = pairs.select(either("u", "v", "a"), either("v", "u", "b"), either("nu", "nv", "n"), either("nv", "nu", "m"))
-    pairs = written(pairs.distinct(), "open")
-    seen = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = pairs.join(seen, ["a", "b"], "left_anti")
-    to_pivot = known.groupBy("a", "b").agg(F.min("distance").alias("distance"))
-    first = to_pivot.select("a", F.col("b").alias("pivot"), F.col("distance").alias("d1"))
-    second = to_pivot.select(F.col("a").alias("b"), F.col("b").alias("pivot"), F.col("distance").alias("d2"))
-    apart = pairs.join(first, "a").join(second, ["b", "pivot"]).where(F.abs(F.col("d1") - F.col("d2")) > RADIUS + 1e-9)
-    return pairs.join(apart.select("a", "b"), ["a", "b"], "left_anti")
+    sketches = counted.where(F.col("sketch").isNotNull()).select("class", "sketch").join(held, "class", "left_semi")
+    inside = sized.join(sketches.dropDuplicates(["class"]), "class")
+    inside = written(inside, "inside")
+
+    # a region's pivot goes into all its parts
+    heads = regions.groupBy("region").agg(F.min(F.struct("rare", "class")).alias("p"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    heads = written(heads.select("region", F.col("p.class").alias("pivot"), "parts"), "pivots")
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    is_pivot = F.col("class") == F.col("pivot")
+    parts = F.when(is_pivot, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(part))
+    cut = regions.join(heads, "region").withColumn("part", F.explode(parts))
+    cut = cut.withColumn("rank", F.when(is_pivot, F.lit(-1)).otherwise(F.col("rare").cast("int")))
+    cut = cut.join(inside.select("class", "n", "sketch"), "class")
+    cut = cut.select(F.xxhash64("region", "part").alias("group"), "region", "rank", "class", "n", "sketch")
+    schema = "region bigint, a bigint, b bigint, share double, apart double"
+    near = written(_grouped(cut, "region", "rank", "class").mapInArrow(_to_pivots, schema), "near")
+    tries = _best(near.where("share >= 0").select("a", "b", "share"), "a")
+    tries = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    known = written(_measured(docs, inside, tries), "measured")
+    labels = _tied(inside.select("class", F.col("class").alias("component")), known.where("linked"))
+
+    # distances to the region's pivot: exact, or at least what the sketches leave
+    exact = known.select("a", "b", "distance").unionAll(known.select("b", "a", "distance"))
+    exact = exact.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "distance")
+    # the pivot of a region of several parts is in each of them
+    windows = near.groupBy("region", F.col("a").alias("class")).agg(F.min("apart").alias("apart"))
+    windows = windows.join(heads.select("region", "pivot"), "region").join(exact, ["class", "pivot"], "left")
+    itself = F.when(F.col("class") == F.col("pivot"), F.lit(0.0))
+    low = F.coalesce(itself, "distance", "apart").alias("low")
+    windows = written(windows.select("region", "class", low, F.coalesce(itself, "distance", F.lit(1.0)).alias("high")), "windows")
+
+    schema = "a bigint, b bigint, u bigint, v bigint, share double"
+    for last in (False, True):
+        placed = written(windows.join(labels, "class"), "placed")
+        several = placed.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+        active = placed.join(several.select("region"), "region", "left_semi").join(inside.select("class", "n", "sketch"), "class")
+        pairs = written(_grouped(_placed(active)).mapInArrow(_pairs_inside, schema), "pairs")
+        seen = known.select("a", "b").unionAll(known.select("b", "a"))
+        pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = pairs.select("a", "b").distinct() if last else _best(pairs, "u", "v")
+        measured = written(_measured(docs, inside, pairs), "measured")
+        known = known.unionByName(measured)
+        labels = _tied(labels, measured.where("linked"))
+    return labels
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -333,10 +442,9 @@ def groups(docs: DataFrame) -> DataFrame:
     the smallest id, unless no other is in the component. Only doc_id and text are read.
     """
     counted = written(_count_sets(docs), "sets")
-    found = links(docs, counted)
+    tied = links(docs, counted)
     least = counted.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
-    tied = least.join(components(found), F.col("class") == F.col("node"), "left")
-    tied = tied.select("class", "least", F.coalesce("component", "class").alias("component"))
+    tied = least.join(tied, "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     # only components of several classes need their minimum
     smallest = tied.groupBy("component").agg(F.min("least").alias("component_id"))
     named = tied.join(smallest, "component").select("class", "component_id")
