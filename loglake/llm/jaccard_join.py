@@ -85,7 +85,7 @@ def sketch(own: np.ndarray) -> bytes:
     """Shingles counted by bucket: two sets share at most the sum of their lesser counts."""
     buckets = BUCKETS if len(own) <= LONG else FINE
     counts = np.bincount((own & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
-    return counts.astype(np.uint16 if counts.max() < 1 << 16 else np.uint32).tobytes()
+    return counts.astype(np.min_scalar_type(counts.max())).tobytes()
 
 
 class Sketches:
@@ -93,27 +93,30 @@ class Sketches:
 
     def __init__(self, rows: list[bytes], n: np.ndarray):
         self.n = n
-        self.coarse = np.zeros((len(rows), BUCKETS), np.uint32)
         fine = n > LONG
-        if not fine.all():
-            self.coarse[~fine] = np.frombuffer(b"".join(r for r, f in zip(rows, fine) if not f), np.uint16).reshape(-1, BUCKETS)
         self.place = np.cumsum(fine) - 1
-        self.fine = np.zeros((int(fine.sum()), FINE), np.uint32)
-        for place, at in enumerate(np.flatnonzero(fine)):
-            counts = np.frombuffer(rows[at], np.uint16 if len(rows[at]) == 2 * FINE else np.uint32)
-            self.fine[place] = counts
-            self.coarse[at] = counts.reshape(-1, BUCKETS).sum(axis=0)
+        # no bucket counts more than the set has
+        kind = np.min_scalar_type(max(int(n.max()), 256))
+        self.coarse = np.empty((len(rows), BUCKETS), kind)
+        self.fine = np.empty((int(fine.sum()), FINE), kind)
+        for at, row in enumerate(rows):
+            buckets = FINE if fine[at] else BUCKETS
+            counts = np.frombuffer(row, f"u{len(row) // buckets}")
+            if fine[at]:
+                self.fine[self.place[at]] = counts
+                counts = counts.reshape(-1, BUCKETS).sum(axis=0)
+            self.coarse[at] = counts
 
     def overlap(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Most shingles that each of the pairs can share."""
         most = np.empty(len(a), np.int64)
         fine = (self.n[a] > LONG) & (self.n[b] > LONG)
         for matrix, mask, at in ((self.coarse, ~fine, None), (self.fine, fine, self.place)):
-            where = np.flatnonzero(mask)
-            for low in range(0, len(where), 4096):
-                some = where[low : low + 4096]
+            where, step = np.flatnonzero(mask), (1 << 20) // matrix.shape[1]
+            for low in range(0, len(where), step):
+                some = where[low : low + step]
                 left, right = (a[some], b[some]) if at is None else (at[a[some]], at[b[some]])
-                most[some] = np.minimum(matrix[left], matrix[right]).sum(axis=1)
+                most[some] = np.minimum(matrix[left], matrix[right]).sum(axis=1, dtype=np.uint32)
         return most
 
 
@@ -257,16 +260,22 @@ def _regions(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches of rows sorted by group as tables that hold whole groups."""
+    """Rows sorted by group as tables that hold whole groups, of ``BLOCK`` rows or else one group."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         rest = table if rest is None else pa.concat_tables([rest, table])
         group = rest.column("group").to_numpy()
-        cut = int(np.searchsorted(group, group[-1])) if len(group) else 0
-        if cut:
-            yield rest.slice(0, cut)
-            rest = rest.slice(cut)
+        low = 0
+        while low < len(group):
+            cut = int(np.searchsorted(group, group[min(low + BLOCK, len(group) - 1)]))
+            if cut <= low:
+                cut = int(np.searchsorted(group, group[low], side="right"))
+            if cut == len(group):
+                break
+            yield rest.slice(low, cut - low)
+            low = cut
+        rest = rest.slice(low)
     if rest is not None and rest.num_rows:
         yield rest
 
