@@ -97,6 +97,21 @@ def noisy_or(logits: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
     return -np.expm1(-np.bincount(bag, _softplus(logits), minlength=bags))
 
 
+def _frequent(texts: pa.Array) -> np.ndarray:
+    """Sorted hashes of the words that ``MIN_TEXTS`` texts hold, counted slice by slice."""
+    words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for piece in slices(texts):
+        found = instances(piece)
+        if not len(found.word):
+            continue
+        own, index = np.unique(found.word, return_inverse=True)
+        pairs = np.unique(index.astype(np.int64) * piece.size + found.text[found.sentence])
+        held = np.bincount(pairs // piece.size, minlength=len(own))
+        words, index = np.unique(np.concatenate((words, own)), return_inverse=True)
+        counts = np.bincount(index, np.concatenate((counts, held)), minlength=len(words))
+    return words[counts >= MIN_TEXTS]
+
+
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray | None = None) -> NoisyOr:
     """Gradient steps on the likelihood of document labels, small weights held at zero.
 
@@ -109,33 +124,38 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray | None = None)
     share = share / share.sum()
     if not len(y) or y.min() == y.max():
         return NoisyOr(np.zeros(0, np.uint64), np.zeros(0), 2.0 if len(y) and y.min() > 0 else -8.0)
-    word, sentence, bag, done, bags = [], [], [], 0, 0
-    for piece in slices(pa.array(texts, pa.string())):
+    column = pa.array(texts, pa.string())
+    vocabulary = _frequent(column)
+    feature, sentence, bag, done, bags = [], [], [], 0, 0
+    for piece in slices(column):
         found = instances(piece)
-        word.append(found.word)
-        sentence.append(found.sentence + done)
+        place = np.searchsorted(vocabulary, found.word)
+        known = np.flatnonzero(place < len(vocabulary))
+        known = known[vocabulary[place[known]] == found.word[known]]
+        feature.append(place[known].astype(np.int32))
+        sentence.append((found.sentence[known] + done).astype(np.int32))
         bag.append(found.text + bags)
         done, bags = done + len(found.start), bags + piece.size
-    word, sentence, bag = np.concatenate(word), np.concatenate(sentence), np.concatenate(bag)
-    vocabulary, index = np.unique(word, return_inverse=True)
-    pairs = np.unique(index.astype(np.int64) * bags + bag[sentence])
-    frequent = np.bincount(pairs // bags, minlength=len(vocabulary)) >= MIN_TEXTS
-    kept = frequent[index]
-    place = np.cumsum(frequent) - 1
-    feature, sentence, vocabulary = place[index[kept]], sentence[kept], vocabulary[frequent]
+    bag = np.concatenate(bag)
 
     bag_of = bag
 
-    def descend(feature: np.ndarray, sentence: np.ndarray, count: int, penalty: float) -> tuple[np.ndarray, float]:
+    def descend(feature: list[np.ndarray], count: int, penalty: float) -> tuple[np.ndarray, float]:
         weights, bias = np.zeros(count), -6.0
         m, v = np.zeros(count + 1), np.zeros(count + 1)
         for step in range(1, EPOCHS + 1):
-            logits = bias + np.bincount(sentence, weights[feature], minlength=done)
+            logits = np.full(done, bias)
+            for f, s in zip(feature, sentence):
+                if len(s):
+                    low, high = s.min(), s.max() + 1
+                    logits[low:high] += np.bincount(s - low, weights[f], minlength=high - low)
             lit = noisy_or(logits, bag_of, bags)
             # d(loss)/d(-log(1 - P)): 1 for label 0, -(1 - P)/(leak + P) for label 1
             slope = np.where(y > 0, -(1 - lit) / (LEAK / (1 - LEAK) + lit), 1.0) * share
             by_sentence = slope[bag_of] * _logistic(logits)
-            by_word = np.bincount(feature, by_sentence[sentence], minlength=count)
+            by_word = np.zeros(count)
+            for f, s in zip(feature, sentence):
+                by_word += np.bincount(f, by_sentence[s], minlength=count)
             gradient = np.append(by_word, by_sentence.sum())
             m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
             pace = RATE / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
@@ -144,11 +164,12 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray | None = None)
             weights = np.sign(weights) * np.maximum(np.abs(weights) - pace[:-1] * penalty, 0)
         return weights, float(bias)
 
-    weights, _ = descend(feature, sentence, len(vocabulary), PENALTY)
+    weights, _ = descend(feature, len(vocabulary), PENALTY)
     # the words that stay are fitted again without the penalty, which has shrunk them
     used = weights != 0
-    kept, place = used[feature], np.cumsum(used) - 1
-    weights, bias = descend(place[feature[kept]], sentence[kept], int(used.sum()), 0.0)
+    place = np.cumsum(used, dtype=np.int32) - 1
+    sentence = [s[used[f]] for f, s in zip(feature, sentence)]
+    weights, bias = descend([place[f[used[f]]] for f in feature], int(used.sum()), 0.0)
     return NoisyOr(vocabulary[used], weights, bias)
 
 
