@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loglake.llm import bpe, jaccard_join, mixing, pii
 from loglake.llm.queries import op2_toxicity
 from loglake.llm.queries.op7_bpe import tokenizer_path
-from loglake.session import scratch_path
+from loglake.session import job, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
@@ -71,6 +71,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         path = scratch_path(spark, "pipeline")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        # the tables of a stage go with it
+        with job(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
