@@ -15,8 +15,10 @@ def components(links: DataFrame) -> DataFrame:
     one job; the number of rounds grows with the logarithm of a chain's length. A hub's labels meet in partial
     minima. Self-links only name their node.
     """
-    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = written(both, "links")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(links.select(F.inline(ways)).distinct(), "links")
+    if both.isEmpty():
+        return both.toDF("node", "component")
     labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node")
     labels = written(labels, "labels")
     while True:

@@ -380,10 +380,11 @@ def _tied(labels: DataFrame, found: DataFrame) -> DataFrame:
     """Labels (class, component) after the links (a, b) between them."""
     one = labels.select(F.col("class").alias("a"), F.col("component").alias("u"))
     two = labels.select(F.col("class").alias("b"), F.col("component").alias("v"))
-    links = written(found.join(one, "a").join(two, "b").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), "links")
-    if links.isEmpty():
+    links = found.join(one, "a").join(two, "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+    merged = components(links)
+    if merged.isEmpty():
         return labels
-    merged = labels.join(components(links).withColumnRenamed("component", "to"), F.col("component") == F.col("node"), "left")
+    merged = labels.join(merged.withColumnRenamed("component", "to"), F.col("component") == F.col("node"), "left")
     return written(merged.select("class", F.coalesce("to", "component").alias("component")), "components")
 
 
@@ -433,7 +434,7 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
         placed = written(windows.join(labels, "class"), "placed")
         several = placed.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
         active = placed.join(several.select("region"), "region", "left_semi").join(inside.select("class", "n", "sketch"), "class")
-        pairs = written(_grouped(_placed(active)).mapInArrow(_pairs_inside, schema), "pairs")
+        pairs = _grouped(_placed(active)).mapInArrow(_pairs_inside, schema)
         seen = known.select("a", "b").unionAll(known.select("b", "a"))
         pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = pairs.select("a", "b").distinct() if last else _best(pairs, "u", "v")
