@@ -31,16 +31,18 @@ from pyspark.sql import functions as F
 
 from loglake.llm.components import components
 from loglake.llm.words import Slice, mix, shingles, slices, words
-from loglake.session import written
+from loglake.session import arrow_rows, written
 
 GRAM = 5
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
-#: A shingle is common if it is counted so often, counting only what repeats inside a batch
-#: of documents. Common shingles come last in the order; what is missed costs time, not links.
+#: A shingle is common if it is counted so often, counting only what repeats among some
+#: neighbouring documents of a task. Common shingles come last in the order; what is missed costs time, not links.
 COMMON = 16
 LOCAL = 2
 MOST_COMMON = 1 << 18
+#: Shingles that a task holds while it counts repeats, about; documents of an Arrow batch, and bytes of text hashed at once.
+COUNTED, BATCH, SLICE = 1 << 21, 2000, 1 << 18
 #: Sets of a region, window or block that are compared with each other in one task.
 BLOCK = 1024
 #: Pivots that a region tries to give each set a near one.
@@ -124,16 +126,40 @@ def _slim(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("_text"))
 
 
+def _slices(column: pa.Array) -> Iterator[Slice]:
+    return slices(column, SLICE)
+
+
+def _with_repeats(columns: list[pa.Array], members: list[np.ndarray]) -> pa.RecordBatch:
+    """The columns and, in the first row, the shingles that several of ``members`` hold."""
+    value = np.concatenate(members) if members else np.zeros(0, np.uint64)
+    members.clear()
+    value.sort()
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(value), 1), bool), value[1:] != value[:-1])))
+    count = np.diff(first, append=len(value))
+    often = count >= LOCAL
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(value[first[often]].view(np.int64)), pa.array(count[often].astype(np.int64))], ["shingle", "n"]
+    )
+    ends = np.full(len(columns[0]) + 1, len(pairs), np.int32)
+    ends[0] = 0
+    repeats = pa.ListArray.from_arrays(pa.array(ends), pairs)
+    return pa.RecordBatch.from_arrays([*columns, repeats], ["doc_id", "n", "class", "sketch", "repeats"])
+
+
 def _count_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n (shingles) and class of every row; besides, the sketch of a class where a batch
-    first meets it, and shingles that repeat among the sets of a batch."""
+    """doc_id, n (shingles) and class of every row; besides, the sketch of a class where some neighbouring
+    batches first meet it, and shingles that repeat among the sets of these."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pair = pa.struct([("shingle", pa.int64()), ("n", pa.int64())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        members: list[np.ndarray] = []
+        held = None
         for batch in batches:
-            n, classes, seen, members, sketches = [], [], set(), [], []
-            for piece in slices(batch.column("_text")):
+            if held is not None:
+                yield held
+            n, classes, sketches = [], [], []
+            for piece in _slices(batch.column("_text")):
                 for own in sets(piece):
                     n.append(len(own))
                     classes.append(class_of(own) if len(own) else None)
@@ -142,16 +168,13 @@ def _count_sets(docs: DataFrame) -> DataFrame:
                     if first:
                         seen.add(classes[-1])
                         members.append(own)
-            repeats: list[dict] = []
-            if members:
-                value, count = np.unique(np.concatenate(members), return_counts=True)
-                often = count >= LOCAL
-                repeats = [{"shingle": s, "n": c} for s, c in zip(value[often].view(np.int64).tolist(), count[often].tolist())]
-            lists = pa.array([repeats if i == 0 else None for i in range(batch.num_rows)], pa.list_(pair))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()), lists],
-                ["doc_id", "n", "class", "sketch", "repeats"],
-            )
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary())]
+            full = sum(map(len, members)) >= COUNTED
+            held = _with_repeats(columns, members if full else [])
+            if full:
+                seen, members = set(), []
+        if held is not None:
+            yield _with_repeats(held.columns[:-1], members) if members else held
 
     schema = f"doc_id {kind}, n bigint, class bigint, sketch binary, repeats array<struct<shingle: bigint, n: bigint>>"
     return _slim(docs).mapInArrow(run, schema)
@@ -169,7 +192,7 @@ def _openings(docs: DataFrame, common: np.ndarray, with_class: bool) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch.column("_text")):
+            for piece in _slices(batch.column("_text")):
                 found, owner, rare = [], [], []
                 for own in sets(piece):
                     if not len(own):
@@ -219,7 +242,7 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             bit = batch.column("_bit").to_numpy()
             few = batch.filter(pa.array((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
-            for piece in slices(few.column("_text")):
+            for piece in _slices(few.column("_text")):
                 own = sets(piece)
                 lists = pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))
                 classes = pa.array([class_of(s) if len(s) else None for s in own], pa.int64())
@@ -451,8 +474,10 @@ def groups(docs: DataFrame) -> DataFrame:
     their own id. Repeated rows are in one component. A null id is a document, but never
     the smallest id, unless no other is in the component. Only doc_id and text are read.
     """
-    counted = written(_count_sets(docs), "sets")
-    tied = links(docs, counted)
+    # texts and sketches are long: all tables that Python tasks make are written in here
+    with arrow_rows(docs.sparkSession, BATCH):
+        counted = written(_count_sets(docs), "sets")
+        tied = links(docs, counted)
     least = counted.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
     tied = least.join(tied, "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     # only components of several classes need their minimum

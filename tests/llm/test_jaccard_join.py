@@ -6,6 +6,7 @@ from conftest_llm import odd_rows, words_of
 from loglake.llm import jaccard_join
 from loglake.llm.components import components
 from loglake.llm.queries.op4_jaccard_join import op4_jaccard_join
+from loglake.session import arrow_rows
 
 LOW = {c: c + 32 for c in range(65, 91)}
 
@@ -78,3 +79,16 @@ def test_components_of_chains_stars_and_self_links(spark):
     want = {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 140)} | {200: 200}
     assert {r.node: r.component for r in rows} == want
     assert components(spark.createDataFrame([], "a bigint, b bigint")).isEmpty()
+
+
+def test_repeats_are_counted_across_batches_and_tasks_get_few_rows(spark):
+    """Every text once in each of two batches of distinct sets: what they share is a repeat of neither batch alone."""
+    rows = [(i, " ".join(f"s{i % 30}w{k}" for k in range(6)) + f" own{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with arrow_rows(spark, 30):
+        counted = jaccard_join._count_sets(docs).select("repeats").collect()
+    assert spark.conf.get(name) == before
+    # two shingles of each of the 30 passages, held by two sets
+    assert sorted(r.n for row in counted for r in row.repeats) == [2] * 60
