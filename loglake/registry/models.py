@@ -11,7 +11,7 @@ from loglake.operators import anomaly, patterns
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.features import record_features
 from loglake.registry import sql_views as v
-from loglake.session import scratch_path
+from loglake.session import by_key, scratch_path
 from loglake.sources import test_tables as t
 
 
@@ -83,7 +83,8 @@ def summary_given(spark, sf_dir):
 
 def term_rows(spark, sf_dir):
     words = once(identifiers(F.col("message"), fv.TERM_STOP_WORDS)).alias("words")
-    rows = t.messages(spark, sf_dir).select("row_id", words)
+    # all terms of a row are counted where the row is: no shuffle of terms, and so many groups in a task
+    rows = by_key(t.messages(spark, sf_dir), "row_id", 50_000).select("row_id", words)
     both = rows.select("row_id", F.explode(F.concat("words", ngrams(F.col("words"), 2))).alias("term"))
     return both.groupBy("row_id", "term").agg(F.count("*").alias("tf"))
 

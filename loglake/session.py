@@ -91,6 +91,16 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def by_key(rows: DataFrame, key: str, rows_a_task: int) -> DataFrame:
+    """Rows of one key together, about ``rows_a_task`` in a task and at least a task a core.
+
+    For scans whose rows grow a lot before they are grouped by the key: tasks of a scan, and partitions that are
+    joined by their size, would hold more groups the larger the input is.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // rows_a_task))
+    return rows.repartition(tasks, key)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Rows of a plain scan on at least as many partitions as there are cores.
 

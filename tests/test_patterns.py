@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglake.operators import patterns as P
+from loglake.registry import models
+from loglake.session import by_key
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +67,10 @@ def test_errors(spark, messages):
         P.fit_patterns(messages, algorithm="other")
     with pytest.raises(ValueError):
         P.fit_patterns(spark.createDataFrame([(1, "only once")], "row_id bigint, message string"))
+
+
+def test_terms_of_a_row_are_counted_in_tasks_of_bounded_size(spark, sf_dir):
+    """Messages are dealt by row before their terms are made; the terms themselves are not shuffled."""
+    assert by_key(spark.range(1000), "id", 10).rdd.getNumPartitions() == 100
+    plan = models.term_rows(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(row_id") == plan.count("hashpartitioning(") == 1
