@@ -17,6 +17,8 @@ from loglake.session import written
 
 NOISE = -1
 CELL_POINTS = 4096
+#: Points compared at once with as many others, and pairs near the limit decided at once.
+BLOCK, EXACT = 512, 1 << 14
 
 
 def standard_points(reduced: DataFrame) -> DataFrame:
@@ -93,15 +95,40 @@ def divide(points: DataFrame, dimensions: int, eps: float, cell_points: int = CE
 
 
 def _near(x: np.ndarray, eps: float):
-    """(rows, columns) of all pairs within eps, a block of rows at a time."""
+    """(rows, columns) of all pairs within eps, ``BLOCK`` points against ``BLOCK`` points at a time."""
     squared = (x * x).sum(axis=1)
-    for start in range(0, len(x), 512):
-        block = x[start : start + 512]
-        close = squared[start : start + 512, None] + squared[None, :] - 2 * block @ x.T
-        # the expanded form loses digits near the limit: decide those pairs exactly
-        rows, columns = np.nonzero(close <= eps * eps + 1e-6)
-        exact = ((block[rows] - x[columns]) ** 2).sum(axis=1) <= eps * eps
-        yield rows[exact] + start, columns[exact]
+    # the expanded form loses digits: pairs this near the limit are decided exactly
+    unsure = 1e-6 + 1e-13 * squared.max(initial=0)
+    for start in range(0, len(x), BLOCK):
+        block = x[start : start + BLOCK]
+        for other in range(0, len(x), BLOCK):
+            close = squared[start : start + BLOCK, None] + squared[None, other : other + BLOCK]
+            close -= 2 * block @ x[other : other + BLOCK].T
+            close -= eps * eps
+            within = close < -unsure
+            rows, columns = np.nonzero(np.abs(close) <= unsure)
+            for low in range(0, len(rows), EXACT):
+                r, c = rows[low : low + EXACT], columns[low : low + EXACT]
+                within[r, c] = ((block[r] - x[other + c]) ** 2).sum(axis=1) <= eps * eps
+            rows, columns = np.nonzero(within)
+            yield rows + start, columns + other
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (each the least point of its group) after the links between points a and b."""
+    u, v = label[a], label[b]
+    apart = u != v
+    u, v = np.divmod(np.unique(u[apart] * len(label) + v[apart]), len(label))
+    while len(u):
+        lower = label.copy()
+        np.minimum.at(lower, u, label[v])
+        np.minimum.at(lower, v, label[u])
+        while (lower[lower] != lower).any():
+            lower = lower[lower]
+        label = lower
+        u, v = label[u], label[v]
+        u, v = u[u != v], v[u != v]
+    return label
 
 
 def _core_points(eps: float, min_points: int):
@@ -121,22 +148,15 @@ def _local_clusters(eps: float):
         """Core points joined within the cell; border points listed with their clusters."""
         x, point = np.stack(cell["x"].to_numpy()), cell["point"].to_numpy()
         core, home = cell["core"].to_numpy(dtype=bool), cell["home"].to_numpy(dtype=bool)
-        pairs = [(r, c) for r, c in _near(x, eps)]
-        rows = np.concatenate([p[0] for p in pairs])
-        columns = np.concatenate([p[1] for p in pairs])
-        linked = core[rows] & core[columns]
-        a, b = rows[linked], columns[linked]
-        label = np.arange(len(x))
-        while True:
-            lower = label.copy()
-            np.minimum.at(lower, a, label[b])
-            lower = lower[lower]
-            if (lower == label).all():
-                break
-            label = lower
-        border = ~core[rows] & core[columns] & home[rows]
-        members = np.concatenate([np.flatnonzero(core), rows[border]])
-        groups = np.concatenate([label[core], label[columns[border]]])
+        label, borders = np.arange(len(x)), []
+        for rows, columns in _near(x, eps):
+            linked = core[rows] & core[columns] & (rows < columns)
+            label = _joined(label, rows[linked], columns[linked])
+            # a home point that is no core point has few neighbours
+            border = ~core[rows] & core[columns] & home[rows]
+            borders.append((rows[border], columns[border]))
+        members = np.concatenate([np.flatnonzero(core), *(b[0] for b in borders)])
+        groups = np.concatenate([label[core], *(label[b[1]] for b in borders)])
         name = cell["cell"].iloc[0]
         out = pd.DataFrame({"point": point[members], "core": core[members], "group": groups}).drop_duplicates()
         out["part"] = name + "/" + out.pop("group").astype(str)

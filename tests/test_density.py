@@ -1,9 +1,12 @@
 """DBSCAN against a plain brute-force run on a small fixture."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
-from loglake.operators.density import dbscan, standard_points
+from loglake.operators.density import _core_points, _local_clusters, dbscan, standard_points
 
 
 def brute_force(x, n, eps, min_points):
@@ -41,3 +44,17 @@ def test_same_clusters_as_brute_force(spark, cell_points):
     got = {r.first_row: r.raw_cluster for r in dbscan(df, 0.5, 5, cell_points).collect()}
     assert len(got) == len(x)
     assert [-1 if got[i] is None else got[i] for i in range(len(x))] == expected.tolist()
+
+
+def test_a_crowded_cell_takes_little_memory():
+    """All points of a cell near each other: no list of all pairs, no differences of all pairs."""
+    x = np.random.default_rng(0).normal(size=(2000, 50)) * 0.01
+    x[1000:] += 10
+    cell = pd.DataFrame({"cell": "", "home": True, "point": np.arange(2000), "n": 1, "x": list(x), "core": True})
+    tracemalloc.start()
+    core = _core_points(0.5, 5)(cell)
+    members = _local_clusters(0.5)(cell)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(core) == 2000 and peak < 50e6
+    assert members.groupby("part")["point"].agg(["min", "max", "size"]).values.tolist() == [[0, 999, 1000], [1000, 1999, 1000]]
