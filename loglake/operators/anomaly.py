@@ -23,6 +23,8 @@ from loglake.operators.percentiles import exact_percentiles, linear_bucket
 from loglake.session import written
 
 SAMPLE_SIZE = 256
+#: Rows that walk down the trees together.
+WALKED = 4096
 HASH_RANGE = 10**15
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
@@ -130,34 +132,47 @@ def forest_arrays(nodes: pd.DataFrame) -> dict:
         return out
 
     leaf, own = nodes["feature"].to_numpy() < 0, nodes["node"].to_numpy()
+    feature = grid(np.where(leaf, 0, nodes["feature"]), 0, np.intp)
+    threshold = grid(np.where(leaf, np.inf, nodes["threshold"]), np.inf, float)
     # a leaf points at itself, so walking on from it changes nothing
+    left = grid(np.where(leaf, own, nodes["left"]), 0, np.intp)
+    right = grid(np.where(leaf, own, nodes["right"]), 0, np.intp)
+    path = grid(nodes["depth"] + average_path(nodes["size"].to_numpy()), 0.0, float)
+    # level by level, every node with both children: a row's place on a level is its place above, doubled, plus 1 on the right
+    tree, place = np.arange(shape[0])[:, None], np.zeros((shape[0], 1), np.intp)
+    levels = []
+    for _ in range(int(nodes["depth"].max())):
+        levels.append((feature[tree, place], threshold[tree, place]))
+        place = np.stack((left[tree, place], right[tree, place]), axis=2).reshape(shape[0], -1)
     return {
-        "feature": grid(np.where(leaf, 0, nodes["feature"]), 0, np.int32),
-        "threshold": grid(np.where(leaf, np.inf, nodes["threshold"]), np.inf, float),
-        "left": grid(np.where(leaf, own, nodes["left"]), 0, np.int32),
-        "right": grid(np.where(leaf, own, nodes["right"]), 0, np.int32),
-        "path": grid(nodes["depth"] + average_path(nodes["size"].to_numpy()), 0.0, float),
-        "height": int(nodes["depth"].max()),
+        "levels": levels,
+        "path": path[tree, place],
         "normal": float(average_path(np.array([nodes.loc[nodes["node"] == 0, "size"].max()]))[0]),
     }
 
 
 def walk_trees(forest: dict, x: np.ndarray) -> np.ndarray:
-    """Raw scores of a batch of rows."""
+    """Raw scores of a batch of rows, in slices that stay in a core's cache."""
     if forest["normal"] <= 0:
         return np.full(len(x), -0.5)
     total = np.zeros(len(x))
-    flat, width = np.ascontiguousarray(x).ravel(), x.shape[1]
-    base = np.arange(len(x)) * width
-    for feature, threshold, left, right, path in zip(
-        *(forest[k] for k in ("feature", "threshold", "left", "right", "path"))
-    ):
-        node = np.zeros(len(x), dtype=np.int32)
-        for _ in range(forest["height"]):
-            below = flat[base + feature[node]] <= threshold[node]
-            node = np.where(below, left[node], right[node])
-        total += path[node]
-    return -np.power(2.0, -total / len(forest["feature"]) / forest["normal"])
+    for low in range(0, len(x), WALKED):
+        part = np.ascontiguousarray(x[low : low + WALKED].T)
+        count = part.shape[1]
+        flat, base, sums = part.ravel(), np.arange(count), total[low : low + count]
+        for tree, path in enumerate(forest["path"]):
+            place = np.zeros(count, np.intp)
+            for level, (feature, threshold) in enumerate(forest["levels"]):
+                if level:
+                    at = (feature[tree] * count).take(place)
+                    at += base
+                    below = flat.take(at) <= threshold[tree].take(place)
+                    place += place
+                else:  # all rows stand at the root
+                    below = part[feature[tree, 0]] <= threshold[tree, 0]
+                place += ~below
+            sums += path.take(place)
+    return -np.power(2.0, -total / len(forest["path"]) / forest["normal"])
 
 
 def score(rows: DataFrame, names: Sequence[str], nodes: pd.DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from loglake.operators import anomaly
 from loglake.operators.anomaly import AnomalyDetector, anomaly_totals, average_path, severity_distribution
 
 NAMES = [f"feat_{i}" for i in range(5)]
@@ -70,3 +72,23 @@ def test_predict_before_fit(features):
 
 def test_average_path():
     assert average_path([1, 2, 3]).tolist() == pytest.approx([0, 1, 2 * (np.log(2) + np.euler_gamma) - 4 / 3])
+
+
+def test_all_rows_walk_a_level_without_looking_up_children():
+    """Levels are whole, so places are computed; scores are those of a walk from node to node."""
+    draw = np.random.default_rng(1)
+    x = np.round(draw.normal(size=(5000, 4)), 1)
+    x[0, 2] = np.nan
+    grow = anomaly._grow(3)
+    nodes = pd.concat([grow(pd.DataFrame({"tree": t, "place": range(64), "values": list(x[1 + t :: 70][:64])})) for t in range(5)])
+    forest = anomaly.forest_arrays(nodes)
+    assert [feature.shape for feature, _ in forest["levels"]] == [(5, 1 << k) for k in range(len(forest["levels"]))]
+    rows = {(n.tree, n.node): n for n in nodes.itertuples()}
+    paths = np.zeros(len(x))
+    for tree in range(5):
+        for i, row in enumerate(x):
+            at = rows[tree, 0]
+            while at.feature >= 0:
+                at = rows[tree, at.left if row[at.feature] <= at.threshold else at.right]
+            paths[i] += at.depth + average_path(np.array([at.size]))[0]
+    assert np.array_equal(anomaly.walk_trees(forest, x), -np.power(2.0, -paths / 5 / forest["normal"]))
