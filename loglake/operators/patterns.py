@@ -28,6 +28,8 @@ SEED = 42
 START_ROUNDS = 5
 START_POINTS = 2
 SETTLED = 1e-4
+#: Messages whose terms a Python task multiplies at once, each term with a row of the basis.
+AT_ONCE = 500
 
 
 def weighted_messages(df: DataFrame) -> DataFrame:
@@ -117,11 +119,12 @@ def _project(batch: pd.DataFrame, components: np.ndarray) -> np.ndarray:
     out = np.zeros((len(batch), components.shape[1]))
     sizes = batch["place"].str.len().to_numpy()
     filled = np.flatnonzero(sizes)
-    if len(filled):
-        places = np.concatenate(batch["place"].to_numpy()[filled]).astype(int)
-        weights = np.concatenate(batch["weight"].to_numpy()[filled]).astype(float)
-        starts = np.concatenate(([0], np.cumsum(sizes[filled])[:-1]))
-        out[filled] = np.add.reduceat(weights[:, None] * components[places], starts)
+    for low in range(0, len(filled), AT_ONCE):
+        some = filled[low : low + AT_ONCE]
+        places = np.concatenate(batch["place"].to_numpy()[some]).astype(int)
+        weights = np.concatenate(batch["weight"].to_numpy()[some]).astype(float)
+        starts = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
+        out[some] = np.add.reduceat(weights[:, None] * components[places], starts)
     return out
 
 
@@ -138,9 +141,10 @@ def _gram_product(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = shared.value
         total = np.zeros_like(weights)
-        for batch in batches:
-            batch = batch[batch["place"].str.len() > 0]
-            if len(batch):
+        for whole in batches:
+            whole = whole[whole["place"].str.len() > 0]
+            for start in range(0, len(whole), AT_ONCE):
+                batch = whole[start : start + AT_ONCE]
                 low = _project(batch, weights) * batch["n"].to_numpy()[:, None]
                 sizes = batch["place"].str.len().to_numpy()
                 places = np.concatenate(batch["place"].to_numpy()).astype(int)
