@@ -11,7 +11,7 @@ from loglake.operators import anomaly, patterns
 from loglake.operators.enrich import enrich_logs
 from loglake.operators.features import record_features
 from loglake.registry import sql_views as v
-from loglake.session import by_key, scratch_path
+from loglake.session import by_key, scratch_path, written
 from loglake.sources import test_tables as t
 
 
@@ -95,7 +95,7 @@ def vocabulary(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir):
-    docs = patterns.weighted_messages(t.messages(spark, sf_dir))
+    docs = written(patterns.weighted_messages(t.messages(spark, sf_dir)), "messages")
     return patterns.message_vectors(docs, patterns.placed(patterns.vocabulary(docs)))
 
 
@@ -123,9 +123,10 @@ def given_representatives(spark, sf_dir):
 
 def components(spark, sf_dir):
     """Length of each singular direction of the TF-IDF matrix."""
-    docs = patterns.weighted_messages(t.messages(spark, sf_dir))
-    vocab = patterns.vocabulary(docs)
-    vectors = patterns.message_vectors(docs, patterns.placed(vocab))
+    docs = written(patterns.weighted_messages(t.messages(spark, sf_dir)), "messages")
+    vocab = written(patterns.vocabulary(docs), "vocabulary")
+    # every pass of the SVD reads the vectors
+    vectors = written(patterns.message_vectors(docs, patterns.placed(vocab)), "vectors")
     rows = docs.agg(F.sum("n").alias("n")).first().n
     svd = patterns.truncated_svd(vectors, vocab.count(), rows)
     values = [] if svd is None else svd[1].tolist()

@@ -90,3 +90,11 @@ def test_projection_of_a_large_batch_takes_little_memory():
     tracemalloc.stop()
     assert peak < 40e6
     assert np.allclose(out[77], batch["weight"][77] @ basis[batch["place"][77]])
+
+
+def test_svd_query_reads_written_vectors(spark, sf_dir, monkeypatch):
+    """The passes of the SVD do not make the vectors again."""
+    seen = []
+    monkeypatch.setattr(P, "truncated_svd", lambda vectors, *rest: seen.append(vectors._jdf.queryExecution().executedPlan().toString()))
+    models.components(spark, sf_dir)
+    assert "FileScan parquet" in seen[0] and "Exchange" not in seen[0]
