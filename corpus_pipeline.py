@@ -12,17 +12,25 @@ from pyspark.sql import functions as F
 from loglake.llm import bpe, jaccard_join, mixing, pii
 from loglake.llm.queries import op2_toxicity
 from loglake.llm.queries.op7_bpe import tokenizer_path
-from loglake.session import job, scratch_path
+from loglake.session import arrow_rows, job, scratch_path, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
+#: Texts that a Python task gets at once; the JVM holds them as well, beside what earlier stages have left there.
+BATCH = 2000
+
+
+def _in_small_batches(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written here: the size of batches is a setting of the time at which a plan is run."""
+    with arrow_rows(rows.sparkSession, BATCH):
+        return written(rows, name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below ``TOXIC``; empty ones score 0 and stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = op2_toxicity.scores(docs, labels, COLUMNS)
-    return scored.where(F.col("score") < TOXIC).select(*COLUMNS)
+    return _in_small_batches(scored.where(F.col("score") < TOXIC).select(*COLUMNS), "harmless")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +49,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their personal data replaced by its kind."""
-    return pii.redact(docs.select(*COLUMNS), pii.train(docs))
+    return _in_small_batches(pii.redact(docs.select(*COLUMNS), pii.train(docs)), "redacted")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +59,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, as training shards hold them."""
-    encoded = bpe.encode(docs, tokenizer_path(), keep=("doc_id", "lang", "source"))
+    encoded = _in_small_batches(bpe.encode(docs, tokenizer_path(), keep=("doc_id", "lang", "source")), "encoded")
     return encoded.withColumn("n_tokens", (F.length("token_ids") / 4).cast("bigint"))
 
 

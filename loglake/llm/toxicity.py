@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from loglake.llm.words import LOWER, Hasher, Slice, runs, slices
 
@@ -221,13 +222,15 @@ def score(docs: DataFrame, model: NoisyOr, keep: tuple[str, ...] = ("doc_id",))
     Null and empty texts score 0. Every row is scored by itself, so repeated rows score
     alike. Only ``keep`` and ``text`` are read.
     """
-    slim = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    # a text that is kept goes to the tasks once
+    raw = "text" if "text" in keep and isinstance(docs.schema["text"].dataType, StringType) else "_text"
+    slim = docs.select(*keep, *([F.col("text").cast("string").alias(raw)] if raw not in keep else []))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*keep).schema.fields]
     kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch.column("_text")):
+            for piece in slices(batch.column(raw)):
                 found = instances(piece)
                 logits = model.sentences(found)
                 scores = noisy_or(logits, found.text, piece.size)

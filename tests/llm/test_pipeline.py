@@ -2,6 +2,7 @@ import corpus_pipeline as pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from loglake import session
 from loglake.llm import jaccard_join, pii
 from loglake.llm.queries import op2_toxicity
 
@@ -61,5 +62,23 @@ def test_stages_on_odd_rows(spark, odd, no_docs, small_dir):
         assert docs.count() >= 0
 
 
+def test_texts_reach_python_once_and_in_small_batches(spark, small_dir, monkeypatch):
+    seen = {}
+
+    def recorded(rows, name):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        seen[name] = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")), plan
+        return session.written(rows, name)
+
+    monkeypatch.setattr(pipeline, "written", recorded)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    for stage in (pipeline.drop_toxic, pipeline.redact, pipeline.encode):
+        stage(spark, docs, small_dir)
+    assert [0 < rows <= pipeline.BATCH for rows, _ in seen.values()] == [True] * 3
+    assert "_text" not in seen["harmless"][1]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_no_oracle_is_claimed():
     assert pipeline.ORACLE_SQL is None and len(pipeline.STAGES) == 5
