@@ -13,6 +13,7 @@ from loglake.operators.lookup import lookup_join
 from loglake.operators.parse import file_formats, nonblank_lines, route_lines, with_format
 from loglake.operators.position import files_of, line_of, packed, rank_of, with_position
 from loglake.schema import POSITION
+from loglake.session import written
 
 
 def dedup_keep_first(df: DataFrame, key: str = "_raw", order: Sequence[str] = POSITION) -> DataFrame:
@@ -21,11 +22,12 @@ def dedup_keep_first(df: DataFrame, key: str = "_raw", order: Sequence[str] = PO
     For positions, and for a single integer column that is unique per row, a hash aggregate keeps the first
     position of every key, reduced inside each map task, so a line that makes up a third
     of the input is never gathered in one place; the rows at these positions are then fetched by a semi-join
-    with numbers alone. No two rows may share a position.
+    with numbers alone. No two rows may share a position. By positions, the rows are written once, as files, first
+    copies and the rows kept are three passes over them, which would each parse the lines again.
     Any other order may have ties: there an aggregate carries the whole row.
     """
     if tuple(order) == POSITION:
-        placed = with_position(df)
+        placed = with_position(written(df, "rows"))
     elif len(order) == 1 and isinstance(df.schema[order[0]].dataType, IntegralType):
         placed = df.withColumn("_position", F.col(order[0]).cast("bigint"))
     else:

@@ -94,3 +94,18 @@ def test_ids_are_unique_with_many_partitions(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [r.value for r in rows] == [f"{f} line {i}" for f in range(4) for i in range(2000)]
     assert len({r.row_id for r in rows}) == 8000
+
+
+def test_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(value):
+        made.add(1)
+        return value
+
+    rows = [("f1", 0, n, value) for n, value in enumerate("abcab")]
+    df = spark.createDataFrame(rows, "_file string, _block bigint, _line_no bigint, value string")
+    got = clean.dedup_keep_first(df.withColumn("value", seen("value")), "value").collect()
+    assert sorted((r.value, r._line_no) for r in got) == [("a", 0), ("b", 1), ("c", 2)]
+    assert made.value == len(rows)
