@@ -16,7 +16,7 @@ from loglake.registry.aggregates import _SECTIONS_SQL, _human
 from loglake.registry.cleaning import CLEAN_COLUMNS
 from loglake.registry.models import _SEVERITY_BINS
 from loglake.registry.text_mining import _HITS
-from loglake.session import scratch_path
+from loglake.session import scratch_path, written
 from loglake.sources import lake, test_tables as t
 from loglake.streaming.incremental import process_new_files
 
@@ -67,7 +67,8 @@ def processed(spark, sf_dir):
 def stored_runs(spark, sf_dir):
     """Two runs into one lake: the second leaves the first alone, and a repeated run replaces its own batch."""
     root = scratch_path(spark, "lake")
-    lines = t.log_lines(spark, sf_dir)
+    # three runs of three passes each
+    lines = written(t.log_lines(spark, sf_dir), "lines")
     for run, part in (("2024-02-01", "f2"), ("2024-02-02", "f9"), ("2024-02-01", "f9")):
         batch.process_to_lake(lines.where(F.col("_file") < part), root, t.INGEST_TS, t.DEFAULT_YEAR, run)
     table = spark.read.parquet(lake.zone_path(root, "processed", "logs"))

@@ -36,9 +36,15 @@ def store_batch(
     df: DataFrame, root: str, zone: str, name: str, run: str, by: str = "run_date", partition_by: tuple[str, ...] = ()
 ) -> str:
     """Write the batch of one run below ``<by>=<run>``. A repeated run replaces its own
-    batch as a whole; the batches of all other runs stay. Returns the table's path."""
+    batch as a whole; the batches of all other runs stay. Returns the table's path.
+
+    With ``partition_by`` rows are dealt out by partition first, large ones to several tasks:
+    otherwise every task would write a file into each partition."""
     path = zone_path(root, zone, name)
-    df.drop("_raw", by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{by}={run}")
+    rows = df.drop("_raw", by)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{by}={run}")
     return path
 
 
