@@ -79,7 +79,9 @@ def stored_runs(spark, sf_dir):
 
 def first_of_cluster(spark, sf_dir):
     """First message by file and line of each given cluster of the processed records."""
-    rows = batch.with_row_id(batch.process(t.log_lines(spark, sf_dir), t.INGEST_TS, t.DEFAULT_YEAR))
+    rows = batch.process(t.log_lines(spark, sf_dir), t.INGEST_TS, t.DEFAULT_YEAR)
+    # files and positions are two passes over the records
+    rows = batch.with_row_id(written(rows.select("_file", "_block", "_line_no", "status_code", "message"), "records"))
     given = rows.select(F.col("status_code").alias("cluster"), "message", "row_id").na.drop(subset=["cluster"])
     return given.groupBy("cluster").agg(F.min_by("message", "row_id").alias("message"))
 

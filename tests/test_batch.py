@@ -10,6 +10,7 @@ from loglake.operators.enrich import enrich_logs
 from loglake.operators.lookup import lookup_join
 from loglake.operators.parse import parse_logs
 from loglake.plans import batch
+from loglake.registry import storage
 from loglake.schema import LINE_SCHEMA
 from loglake.sources import lake, render, test_tables as t
 from loglake.sources.raw_text import scan_raw_lines
@@ -168,3 +169,17 @@ def test_newest_batch_by_number(spark, tmp_path):
     for batch_no in (2, 9, 10):
         lake.store_batch(spark.range(batch_no).withColumnRenamed("id", "n"), str(tmp_path), "processed", "t", str(batch_no), by="batch")
     assert lake.read_latest(spark, str(tmp_path), "processed", "t", by="batch").count() == 10
+
+
+def test_first_of_cluster_parses_lines_once(spark, sf_dir):
+    """Files and positions come from written records, not from the lines again."""
+    plan = storage.first_of_cluster(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+
+
+def test_a_batch_has_few_files_a_day(spark, tmp_path):
+    rows = spark.range(800, numPartitions=8).select("id", (F.col("id") % 5).alias("date"))
+    path = lake.store_batch(rows, str(tmp_path), "processed", "logs", "1", partition_by=("date",))
+    assert len(list(tmp_path.glob("processed/logs/run_date=1/date=*/part-*.parquet"))) == 5
+    got = spark.read.parquet(path).select("id", "date")
+    assert sorted(map(tuple, got.collect())) == [(i, i % 5) for i in range(800)]
