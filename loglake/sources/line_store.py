@@ -48,8 +48,12 @@ def _places() -> list[Column]:
 
 
 def filter_of(keyed: DataFrame, bits: int) -> DataFrame:
-    """The lines' filter with ``2**bits`` pages a range; pages without a line are absent."""
-    marks = keyed.select(F.lit(bits).alias("page_bits"), "range", _page(F.lit(bits)).alias("page"), F.explode(F.array(*_places())).alias("place"))
+    """The lines' filter with ``2**bits`` pages a range; pages without a line are absent.
+
+    Lines are dealt out by range before their pages are made: a task of unordered lines would send a
+    page of ``PAGE`` bits for nearly every one of its lines.
+    """
+    marks = keyed.repartition("range").select(F.lit(bits).alias("page_bits"), "range", _page(F.lit(bits)).alias("page"), F.explode(F.array(*_places())).alias("place"))
     return marks.groupBy(*_BY).agg(F.bitmap_construct_agg("place").alias("bits"))
 
 

@@ -78,3 +78,9 @@ def test_runs_give_what_one_batch_gives(spark, sf_dir, tmp_path):
         process_new_files(spark, raw, table, progress, t.INGEST_TS, t.DEFAULT_YEAR)
     rows = spark.read.parquet(table)
     assert rows.count() == rows.select("message", "timestamp", "service", "level", "_format").distinct().count() == 1000
+
+
+def test_pages_are_built_where_their_range_is(spark):
+    """Lines are shuffled, not a page for every task that holds one of its lines."""
+    plan = store.filter_of(store.with_keys(_lines(spark, 0, 100)), 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "REPARTITION_BY_COL" in plan
