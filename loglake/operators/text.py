@@ -19,6 +19,9 @@ from loglake.session import written
 
 KEYWORDS = [(level, word) for level, words in fv.SEVERITY_KEYWORDS.items() for word in words]
 
+#: Bytes of messages whose pairs and triples one task counts.
+BYTES_A_TASK = 16 << 20
+
 
 def with_text(df: DataFrame) -> DataFrame:
     """Rows that have a message."""
@@ -37,6 +40,16 @@ def lemmatize(token_rows: DataFrame, lemmas: DataFrame) -> DataFrame:
     return joined.withColumn("token", F.coalesce("lemma", "token")).drop("lemma")
 
 
+def dealt(texts: DataFrame) -> DataFrame:
+    """Messages dealt out in tasks of about ``BYTES_A_TASK``, and at least a task a core.
+
+    Nearly every pair or triple of a text is a new one, so a task's counts grow with its text; a scan
+    may also have all rows in one of its splits, which its number of partitions does not show.
+    """
+    size = texts.agg(F.sum(F.octet_length("message").cast("bigint"))).first()[0] or 0
+    return texts.repartition(max(texts.sparkSession.sparkContext.defaultParallelism, -(-size // BYTES_A_TASK)))
+
+
 def gram_counts(
     df: DataFrame, sizes: Sequence[int] = (1, 2, 3), stop_words: Sequence[str] = fv.LOG_STOP_WORDS
 ) -> DataFrame:
@@ -44,7 +57,10 @@ def gram_counts(
 
     N-grams are built on the filtered tokens and never cross messages.
     """
-    words = with_text(df).select(once(tokens(F.col("message"), stop_words)).alias("words"))
+    texts = with_text(df).select("message")
+    if max(sizes) > 1:
+        texts = dealt(texts)
+    words = texts.select(once(tokens(F.col("message"), stop_words)).alias("words"))
     grams = F.array(
         *(F.struct(F.lit(n).alias("n"), ngrams(F.col("words"), n).alias("grams")) for n in sizes)
     )
