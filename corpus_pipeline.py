@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loglake.llm import bpe, jaccard_join, mixing, pii
 from loglake.llm.queries import op2_toxicity
 from loglake.llm.queries.op7_bpe import tokenizer_path
-from loglake.session import arrow_rows, job, scratch_path, written
+from loglake.session import arrow_rows, job, release_memory, scratch_path, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
@@ -30,6 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below ``TOXIC``; empty ones score 0 and stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = op2_toxicity.scores(docs, labels, COLUMNS)
+    release_memory()
     return _in_small_batches(scored.where(F.col("score") < TOXIC).select(*COLUMNS), "harmless")
 
 
@@ -40,16 +41,23 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     # a null leaves a hash as it was, so it is told by a flag; the hash stands for the row
     whole = F.xxhash64(*(x for c in COLUMNS for x in (F.col(c), F.col(c).isNull())))
     docs = docs.select(*COLUMNS, whole.alias("row"))
-    groups = jaccard_join.groups(docs.select(F.col("row").alias("doc_id"), "text"))
-    groups = groups.select(F.col("doc_id").alias("row"), "component_id").distinct()
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    first = docs.select("doc_id", "row").distinct().join(groups, "row").groupBy("component_id").agg(F.min(order).alias("first"))
-    return docs.join(first.select("first.row"), "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
+    path = scratch_path(spark, "first")
+    # the tables of the join go when its result, a number for each group, is written
+    with job(spark):
+        groups = jaccard_join.groups(docs.select(F.col("row").alias("doc_id"), "text"))
+        groups = groups.select(F.col("doc_id").alias("row"), "component_id").distinct()
+        first = docs.select("doc_id", "row").distinct().join(groups, "row").groupBy("component_id").agg(F.min(order).alias("first"))
+        first.select("first.row").write.parquet(path)
+    first = spark.read.schema("row bigint").parquet(path)
+    return docs.join(first, "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their personal data replaced by its kind."""
-    return _in_small_batches(pii.redact(docs.select(*COLUMNS), pii.train(docs)), "redacted")
+    model = pii.train(docs)
+    release_memory()
+    return _in_small_batches(pii.redact(docs.select(*COLUMNS), model), "redacted")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

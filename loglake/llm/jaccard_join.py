@@ -257,6 +257,8 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _measured(docs: DataFrame, inside: DataFrame, pairs: DataFrame) -> DataFrame:
     """Jaccard distance of every pair (a, b), from the whole sets."""
     pairs = written(pairs.select("a", "b"), "pairs")
+    if pairs.isEmpty():
+        return pairs.select("a", "b", F.lit(0.0).alias("distance"), F.lit(False).alias("linked"))
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     members = _members(docs, inside.join(wanted, "class", "left_semi").select("doc_id"))
     left = members.select(F.col("class").alias("a"), F.col("shingles").alias("_a"))
@@ -389,7 +391,7 @@ def _placed(active: DataFrame) -> DataFrame:
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     first, second = F.least("block", "other"), F.greatest("block", "other")
     group = F.xxhash64("region", "ring", first, second).alias("group")
-    return cut.select(group, (first != second).alias("two"), "block", "class", "n", "component", "low", "high", "sketch")
+    return cut.select(group, (first != second).alias("two"), "block", "class", "component", "low", "high")
 
 
 def _best(pairs: DataFrame, *key: str) -> DataFrame:
@@ -456,8 +458,12 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
     for last in (False, True):
         placed = written(windows.join(labels, "class"), "placed")
         several = placed.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        active = placed.join(several.select("region"), "region", "left_semi").join(inside.select("class", "n", "sketch"), "class")
-        pairs = _grouped(_placed(active)).mapInArrow(_pairs_inside, schema)
+        active = written(placed.join(several.select("region"), "region", "left_semi"), "active")
+        if active.isEmpty():
+            break
+        # the sketches are long and come last
+        placed = _placed(active).join(inside.select("class", "n", "sketch"), "class")
+        pairs = _grouped(placed).mapInArrow(_pairs_inside, schema)
         seen = known.select("a", "b").unionAll(known.select("b", "a"))
         pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = pairs.select("a", "b").distinct() if last else _best(pairs, "u", "v")

@@ -147,13 +147,15 @@ def mix(docs: DataFrame, with_text: bool = False, block: int = BLOCK_WORDS) -> D
 
     A null text has size 0 and nothing is taken of it; a null source is a source of its own, after all others.
     Repeated rows are documents of their own. Columns of other names are not read. An
-    empty table gives no rows. Results do not depend on partitioning.
+    empty table gives no rows. Results do not depend on partitioning. ``docs`` is read again for the
+    texts, which are not stored: give it as a table that is read, not as one that is made anew each time.
     """
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
     carried = ["text", "lang"] if with_text else []
     sized = docs.select("doc_id", "source", *carried, source_key(F.col("source")).alias("key"), size.alias("size"))
     identity = ["doc_id", "size", *carried[:1]]
-    sized = written(sized.withColumn("_order", F.xxhash64(F.lit(SEED), *identity)), "sized")
+    texts = sized.withColumn("_order", F.xxhash64(F.lit(SEED), *identity))
+    sized = written(texts.drop(*carried), "sized")
 
     sources = sized.groupBy("key").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     aimed = targets(written(sources, "sources")).withColumn("all", F.lit(0))
@@ -162,13 +164,14 @@ def mix(docs: DataFrame, with_text: bool = False, block: int = BLOCK_WORDS) -> D
     aimed = aimed.withColumns({"seats": F.lit(round(seats / block)).cast("bigint"), "shards": shards.cast("bigint")})
     granted = written(apportion(aimed, "all", "target", "seats", "key", "source_seats"), "granted")
 
-    parted = sized.join(granted.select("key", "source_size", "target", "shards"), "key").withColumn(
-        "shard", F.pmod(F.col("_order"), F.col("shards")).cast("int")
-    )
-    per_shard = parted.groupBy("key", "shard").agg(F.sum("size").cast("double").alias("shard_size"))
-    per_shard = per_shard.join(granted.select("key", "source_seats"), "key")
+    def parted(rows: DataFrame) -> DataFrame:
+        rows = rows.join(granted.select("key", "source_size", "target", "shards"), "key")
+        return rows.withColumn("shard", F.pmod(F.col("_order"), F.col("shards")).cast("int"))
+
+    per_shard = parted(sized).groupBy("key", "shard").agg(F.sum("size").cast("double").alias("shard_size"))
+    per_shard = written(per_shard.join(granted.select("key", "source_seats"), "key"), "shards")
     quotas = apportion(per_shard, "key", "shard_size", "source_seats", "shard", "quota").select("key", "shard", "quota")
-    ready = parted.join(written(quotas, "quotas"), ["key", "shard"])
+    ready = parted(texts if with_text else sized).join(written(quotas, "quotas"), ["key", "shard"])
 
     def take(shard: pa.Table) -> pa.Table:
         shard = shard.sort_by([("_order", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])

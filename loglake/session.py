@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -91,6 +93,14 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def release_memory() -> None:
+    """Hands back to the system what this process has freed; the allocators of Arrow and C keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def by_key(rows: DataFrame, key: str, rows_a_task: int) -> DataFrame:
     """Rows of one key together, about ``rows_a_task`` in a task and at least a task a core.
 

@@ -92,3 +92,13 @@ def test_repeats_are_counted_across_batches_and_tasks_get_few_rows(spark):
     assert spark.conf.get(name) == before
     # two shingles of each of the 30 passages, held by two sets
     assert sorted(r.n for row in counted for r in row.repeats) == [2] * 60
+
+
+def test_rounds_end_where_nothing_is_open(spark, monkeypatch):
+    """Pairs of near copies are tied to their region's pivot: no region holds several components after that."""
+    texts = [" ".join(f"t{i}w{k}" for k in range(60)) for i in range(20)]
+    rows = [(2 * i + more, text + more * " more") for i, text in enumerate(texts) for more in (0, 1)]
+    docs, names, real = spark.createDataFrame(rows, "doc_id bigint, text string"), [], jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name: names.append(name) or real(df, name))
+    assert got(jaccard_join.groups(docs)) == brute(rows)
+    assert names.count("members") == names.count("measured") == 1

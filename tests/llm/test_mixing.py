@@ -85,3 +85,10 @@ def test_text_has_the_words_that_are_counted(spark, odd):
         assert set(own) <= set(whole[r.doc_id]) and r.n_chars == len(r.text)
     total = sum(counted.values())
     assert abs(sum(taken.values()) - total) <= 0.02 * total
+
+
+def test_texts_are_not_stored(spark, odd, monkeypatch):
+    stored, real = [], mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, name: stored.append((name, df.columns)) or real(df, name))
+    assert mixing.mix(odd, with_text=True).count()
+    assert "sized" in dict(stored) and not [name for name, columns in stored if "text" in columns]

@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import corpus_pipeline as pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -80,5 +84,39 @@ def test_texts_reach_python_once_and_in_small_batches(spark, small_dir, monkeypa
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
 
 
+def test_near_duplicates_leave_one_small_table(spark, small_dir):
+    folder = Path(session.shared_folder(spark).removeprefix("file://"), "loglake")
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    before = set(folder.glob("**/*.parquet"))
+    single = pipeline.one_of_each_group(spark, docs, small_dir)
+    left = {f.parent for f in set(folder.glob("**/*.parquet")) - before}
+    assert len(left) == 1 and left.pop().name.startswith("first-")
+    assert single.count() == len({r.component_id for r in jaccard_join.groups(docs).collect()})
+
+
+def test_freed_memory_goes_back_to_the_system():
+    """Blocks that are freed beside ones that stay are given back, not only those at the heap's end."""
+    code = """
+from loglake.session import release_memory
+def now(): return int(open("/proc/self/statm").read().split()[1]) * 4096 / 1e6
+blocks = [bytearray(b"x" * 100_000) for _ in range(2000)]
+kept = blocks[::20]
+del blocks
+held = now()
+release_memory()
+assert now() < held - 100, (held, now())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(pipeline.__file__).parent)
+
+
+def test_fits_are_followed_by_a_release(spark, small_dir, monkeypatch):
+    done = []
+    monkeypatch.setattr(pipeline, "release_memory", lambda: done.append(1))
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    pipeline.drop_toxic(spark, docs, small_dir)
+    pipeline.redact(spark, docs, small_dir)
+    assert len(done) == 2
+
+
 def test_no_oracle_is_claimed():
     assert pipeline.ORACLE_SQL is None and len(pipeline.STAGES) == 5
