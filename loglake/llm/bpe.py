@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loglake.session import released
+
 #: Output batches hold about so many characters of text.
 BATCH_CHARS = 1 << 21
 #: Pre-tokens that a task remembers before it starts afresh; bounds memory, not results.
@@ -205,7 +207,7 @@ def encode(docs: DataFrame, path: str, decoded: bool = False, keep: tuple[str, .
                 columns.append(pa.array([vocab.decode(i) for i in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [*keep, "token_ids", *(["decoded"] if decoded else [])])
 
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(released(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

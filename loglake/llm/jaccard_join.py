@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from loglake.llm.components import components
 from loglake.llm.words import Slice, mix, shingles, slices, words
-from loglake.session import arrow_rows, written
+from loglake.session import arrow_rows, released, written
 
 GRAM = 5
 PERCENT = 80
@@ -177,7 +177,7 @@ def _count_sets(docs: DataFrame) -> DataFrame:
             yield _with_repeats(held.columns[:-1], members) if members else held
 
     schema = f"doc_id {kind}, n bigint, class bigint, sketch binary, repeats array<struct<shingle: bigint, n: bigint>>"
-    return _slim(docs).mapInArrow(run, schema)
+    return _slim(docs).mapInArrow(released(run), schema)
 
 
 def _is_common(own: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -215,7 +215,7 @@ def _openings(docs: DataFrame, common: np.ndarray, with_class: bool) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, ["shingle", "class", "rare"][: len(columns)])
 
     schema = "shingle bigint" + (", class bigint, rare smallint" if with_class else "")
-    return _slim(docs).mapInArrow(run, schema)
+    return _slim(docs).mapInArrow(released(run), schema)
 
 
 def _bit(doc_id: str = "doc_id") -> Column:
@@ -249,7 +249,7 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([classes, lists], ["class", "shingles"])
 
     rows = docs.select(_bit().alias("_bit"), F.col("text").cast("string").alias("_text"))
-    members = written(rows.mapInArrow(run, "class bigint, shingles array<bigint>").where(F.col("class").isNotNull()), "members")
+    members = written(rows.mapInArrow(released(run), "class bigint, shingles array<bigint>").where(F.col("class").isNotNull()), "members")
     marked.destroy()
     return members
 
@@ -438,7 +438,7 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
     cut = cut.join(inside.select("class", "n", "sketch"), "class")
     cut = cut.select(F.xxhash64("region", "part").alias("group"), "region", "rank", "class", "n", "sketch")
     schema = "region bigint, a bigint, b bigint, share double, apart double"
-    near = written(_grouped(cut, "region", "rank", "class").mapInArrow(_to_pivots, schema), "near")
+    near = written(_grouped(cut, "region", "rank", "class").mapInArrow(released(_to_pivots), schema), "near")
     tries = _best(near.where("share >= 0").select("a", "b", "share"), "a")
     tries = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = written(_measured(docs, inside, tries), "measured")
@@ -463,7 +463,7 @@ def links(docs: DataFrame, counted: DataFrame) -> DataFrame:
             break
         # the sketches are long and come last
         placed = _placed(active).join(inside.select("class", "n", "sketch"), "class")
-        pairs = _grouped(placed).mapInArrow(_pairs_inside, schema)
+        pairs = _grouped(placed).mapInArrow(released(_pairs_inside), schema)
         seen = known.select("a", "b").unionAll(known.select("b", "a"))
         pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = pairs.select("a", "b").distinct() if last else _best(pairs, "u", "v")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglake.session import written
+from loglake.session import release_memory, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -28,6 +28,8 @@ BLOCK_WORDS = 32
 SHARD_WORDS = 1 << 20
 SHARD_DOCS = 1 << 14
 SEED = 20240229
+#: After a shard of so many bytes its task hands memory back to the system.
+LARGE = 1 << 21
 
 
 def source_key(source: Column) -> Column:
@@ -191,7 +193,11 @@ def mix(docs: DataFrame, with_text: bool = False, block: int = BLOCK_WORDS) -> D
                 if (part := _pieces(text, a, b, times, least, block)) is not None
             ]
             out = shard.select(["doc_id", "lang", "source"]).take(pa.array([row for row, _ in copies], pa.int64()))
-            return out.add_column(1, "text", pa.array([part for _, part in copies], pa.string()))
+            out = out.add_column(1, "text", pa.array([part for _, part in copies], pa.string()))
+            if shard.nbytes > LARGE:
+                del copies
+                release_memory()
+            return out
         full = np.append(times, 0)
         words = lambda at: before[at // block] + full[at // block] * (at % block)
         out = shard.select(["doc_id", "size", "source_size", "target"])

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.session import released
+
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -391,5 +393,5 @@ def redact(docs: DataFrame, model: SkipChain) -> DataFrame:
                 new = [clean(t, s) if s else t for t, s in zip(texts, found)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), pa.array(new, pa.string())], [*rest, "text"])
 
-    cleaned = slim.mapInArrow(run, ", ".join([*fields, "text string"]))
+    cleaned = slim.mapInArrow(released(run), ", ".join([*fields, "text string"]))
     return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(*(c for c in columns))

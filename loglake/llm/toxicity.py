@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from loglake.llm.words import LOWER, Hasher, Slice, runs, slices
+from loglake.session import released
 
 #: Bounds of the training sample: texts per label, and their characters in total (the text that crosses it is still taken).
 SAMPLE = 3000
@@ -249,7 +250,7 @@ def score(docs: DataFrame, model: NoisyOr, keep: tuple[str, ...] = ("doc_id",))
                 )
 
     spans = "array<struct<start: bigint, end: bigint, score: double>>"
-    return slim.mapInArrow(run, ", ".join([*fields, "score double", f"offending {spans}"]))
+    return slim.mapInArrow(released(run), ", ".join([*fields, "score double", f"offending {spans}"]))
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> NoisyOr:

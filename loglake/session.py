@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -101,6 +101,18 @@ def release_memory() -> None:
         trim(0)
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The same task, which hands its memory back when it ends: Spark keeps Python workers for later stages."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
 def by_key(rows: DataFrame, key: str, rows_a_task: int) -> DataFrame:
     """Rows of one key together, about ``rows_a_task`` in a task and at least a task a core.
 

@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest_llm import words_of
+from loglake import session
 from loglake.llm import words as W
 
 TEXT = st.none() | st.text(alphabet="ab \n\t\x0b\x1cé Z", max_size=40)
@@ -37,3 +38,15 @@ def test_sliced_columns_keep_their_offsets():
 
 def test_mix_has_no_collisions_in_small_numbers():
     assert len(np.unique(W.mix(np.arange(100_000, dtype=np.uint64)))) == 100_000
+
+
+def test_tasks_hand_memory_back_when_they_end(monkeypatch):
+    """Also when their output is not read to its end."""
+    done = []
+    monkeypatch.setattr(session, "release_memory", lambda: done.append(1))
+    task = session.released(lambda batches: (b + 1 for b in batches))
+    assert list(task(iter([1, 2]))) == [2, 3] and done == [1]
+    cut = task(iter([1, 2]))
+    assert next(cut) == 2 and done == [1]
+    cut.close()
+    assert done == [1, 1]
