@@ -28,6 +28,8 @@ from loglake.session import released
 BATCH_CHARS = 1 << 21
 #: Pre-tokens that a task remembers before it starts afresh; bounds memory, not results.
 REMEMBERED = 400_000
+#: What a task leaves for the next one in its worker, which later stages use too: more than so many are forgotten.
+LEFT = 50_000
 
 
 def byte_alphabet() -> list[str]:
@@ -200,6 +202,13 @@ def encode(docs: DataFrame, path: str, decoded: bool = False, keep: tuple[str, .
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
+        try:
+            yield from encoded(batches, vocab)
+        finally:
+            if len(vocab.known) > LEFT:
+                vocab.known.clear()
+
+    def encoded(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
         for piece, texts in _some(batches, "_text", BATCH_CHARS):
             ids = [vocab.encode(t) for t in texts]
             columns = [piece.column(c) for c in keep] + [pa.array(ids, pa.binary())]

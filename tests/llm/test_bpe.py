@@ -52,3 +52,17 @@ def test_decode_is_its_own_operator(spark, odd):
     encoded = bpe.encode(odd, PATH, decoded=True)
     again = bpe.decode(encoded.drop("decoded"), PATH)
     assert _sorted(again.collect()) == _sorted(encoded.select("doc_id", "decoded").collect())
+
+
+def test_workers_forget_many_words_when_a_task_ends(spark):
+    letters = "translate(hex(w), '0123456789', 'ghijklmnop')"
+    text = f"array_join(transform(sequence(0, {bpe.LEFT + 5000}), w -> {letters}), ' ') AS text"
+    docs = spark.range(0, 16, 1, 16).selectExpr("id AS doc_id", text)
+    assert bpe.encode(docs, PATH).where("length(token_ids) > 0").count() == 16
+
+    def held(batches):
+        for batch in batches:
+            yield batch.from_pydict({"n": [len(bpe.vocabulary(PATH).known)]})
+
+    left = [r.n for r in spark.range(0, 16, 1, 16).mapInArrow(held, "n bigint").collect()]
+    assert max(left) <= bpe.LEFT
